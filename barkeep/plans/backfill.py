@@ -1,11 +1,14 @@
-"""Backfill of many date ranges in one job."""
+"""Backfill of many date ranges in one job.
 
-from functools import reduce
+A range that fails does not stop the others: only rows of good ranges are written.
+"""
+
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from barkeep.operators.dedup import NEWEST_FIRST, latest_per_key
+from barkeep.operators.dedup import latest_per_key
 from barkeep.operators.normalize import (
     PERMISSIVE,
     STRICT,
@@ -13,10 +16,150 @@ from barkeep.operators.normalize import (
     normalize_text,
     normalize_typed,
 )
-from barkeep.schema import BAR_COLUMNS, FILE_DAY
+from barkeep.schema import FILE_DAY
 from barkeep.scratch import stage
-from barkeep.sinks.tables import create_bars_table, write_table
-from barkeep.sources.raw_files import path_exists, scan_bars, scan_text
+from barkeep.sinks.tables import OVERWRITE_PARTITIONS, create_bars_table, write_table
+from barkeep.sources.raw_files import (
+    full_path,
+    list_files,
+    path_exists,
+    scan_bars,
+    scan_text,
+)
 
 SUCCEEDED = "SUCCEEDED"
 FAILED = "FAILED"
+
+# At most this many (file, range) pairs, about 200 bytes each, go to every executor.
+MAX_BROADCAST_PAIRS = 500_000
+
+RESULT = T.StructType(
+    [
+        T.StructField("range_id", T.IntegerType()),
+        T.StructField("input_path", T.StringType()),
+        T.StructField("start_date", T.DateType()),
+        T.StructField("end_date", T.DateType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("files", T.LongType()),
+        T.StructField("bars", T.LongType()),
+        T.StructField("unreadable", T.LongType()),
+    ]
+)
+
+
+@dataclass(frozen=True)
+class _Item:
+    range_id: int
+    input_path: str
+    start_date: object
+    end_date: object
+    root: str
+
+
+def _outermost(roots):
+    """Paths that are not below another one, so that no file is scanned twice."""
+    kept = []
+    for root in sorted(set(roots)):
+        if not (kept and (root == kept[-1] or root.startswith(kept[-1] + "/"))):
+            kept.append(root)
+    return kept
+
+
+def _files_by_range(spark, items, roots):
+    """(path, range_id, start_date, end_date): the files below each range's path."""
+    ranges = spark.createDataFrame(
+        [(i.range_id, i.start_date, i.end_date, i.root) for i in items],
+        "range_id int, start_date date, end_date date, root string",
+    )
+    steps = F.split("path", "/")
+    above = F.transform(
+        F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/")
+    )
+    files = list_files(spark, roots).select("path", F.explode(above).alias("root"))
+    return files.join(F.broadcast(ranges), "root").drop("root")
+
+
+def backfill(spark, ranges, table, mode=PERMISSIVE, one_header=True):
+    """Load every range of ``ranges`` (range_id, input_path, start_date, end_date).
+
+    A range fails if no file lies below its path or, in ``strict`` mode, if one of
+    its rows has a cell that cannot be read. Where ranges share a day, the last
+    good one that has bars on it decides, as if the ranges were loaded in order.
+    Returns one row per range with its status, files, bars and unreadable rows.
+    """
+    if mode not in (PERMISSIVE, STRICT):
+        raise ValueError(f"unknown parse mode: {mode}")
+    # The work list is control data: the driver needs its paths to plan the scan.
+    items = [
+        _Item(r.range_id, r.input_path, r.start_date, r.end_date, full_path(spark, r.input_path))
+        for r in ranges.collect()
+    ]
+    create_bars_table(spark, table)
+    roots = [r for r in _outermost(i.root for i in items) if path_exists(spark, r)]
+    items_below = [i for i in items if path_exists(spark, i.input_path)]
+
+    files, counts = {}, {}
+    if items_below and roots:
+        pairs = stage(_files_by_range(spark, items_below, roots), "backfill-files")
+        per_range = pairs.groupBy("range_id").agg(F.count("*").alias("files"))
+        files = {r.range_id: r.files for r in per_range.collect()}
+        rows = stage(_rows_by_range(spark, roots, pairs, mode, one_header), "backfill-rows")
+        per_range = rows.groupBy("range_id").agg(
+            F.count_if(F.col("in_range")).alias("bars"), F.count_if(F.col("unreadable")).alias("unreadable")
+        )
+        counts = {r.range_id: (r.bars, r.unreadable) for r in per_range.collect()}
+
+    results, good = [], []
+    for i in items:
+        bars, unreadable = counts.get(i.range_id, (0, 0))
+        ok = files.get(i.range_id, 0) > 0 and unreadable == 0
+        if ok:
+            good.append(i)
+        results.append(
+            (i.range_id, i.input_path, i.start_date, i.end_date, SUCCEEDED if ok else FAILED,
+             files.get(i.range_id, 0), bars, unreadable)
+        )
+    if good:
+        bars = rows.filter("in_range").join(_ids(spark, good), "range_id", "left_semi")
+        if _share_days(good):
+            bars = _last_range_per_day(bars)
+        write_table(latest_per_key(bars), table, OVERWRITE_PARTITIONS)
+    return spark.createDataFrame(results, RESULT)
+
+
+def _ids(spark, items):
+    return F.broadcast(spark.createDataFrame([(i.range_id,) for i in items], "range_id int"))
+
+
+def _rows_by_range(spark, roots, pairs, mode, one_header):
+    """Normalised rows of all files, once per range their file belongs to, marked
+    ``in_range`` (to be loaded) or ``unreadable`` (fails the range)."""
+    small = pairs.count() <= MAX_BROADCAST_PAIRS
+    pairs = F.broadcast(pairs) if small else pairs
+    carried = ("unreadable", "range_id", "start_date", "end_date")
+    if mode == STRICT:
+        raw = scan_text(spark, roots, one_header=one_header, with_path=True)
+        marked = raw.join(pairs, "path").withColumn("unreadable", has_unreadable_cell())
+        rows = normalize_text(marked, PERMISSIVE, carried, keep_undated=True)
+    else:
+        raw = scan_bars(spark, roots, with_path=True)
+        marked = raw.join(pairs, "path").withColumn("unreadable", F.lit(False))
+        rows = normalize_typed(marked, carried)
+    # A row without a readable date counts for its file's day, or for every range.
+    day = F.coalesce("trade_date", FILE_DAY)
+    covered = F.coalesce(day.between(F.col("start_date"), F.col("end_date")), F.lit(True))
+    return (
+        rows.filter(covered)
+        .withColumn("in_range", F.col("trade_date").isNotNull())
+        .drop("start_date", "end_date")
+    )
+
+
+def _share_days(items):
+    ordered = sorted((i.start_date, i.end_date) for i in items)
+    return any(after[0] <= before[1] for before, after in zip(ordered, ordered[1:]))
+
+
+def _last_range_per_day(bars):
+    owners = bars.groupBy("trade_date").agg(F.max("range_id").alias("range_id"))
+    return bars.join(owners, ["trade_date", "range_id"], "left_semi")

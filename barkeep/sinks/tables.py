@@ -12,26 +12,34 @@ from barkeep.schema import BARS, METRICS
 
 APPEND = "append"
 OVERWRITE_PARTITIONS = "overwrite_partitions"
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+# For the time of a write. The writer option for dynamic overwrite has no effect on
+# insertInto, so the session must say it. How many files are written depends on the
+# days, not on the tasks, so merging tasks would only open the files one by one.
+WRITE_SETTINGS = {
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
 
 
 @contextmanager
-def dynamic_overwrite(spark):
-    """Replace only the partitions written. The writer option of the same name has
-    no effect on insertInto, so the session setting is changed for the write."""
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
+def write_settings(spark):
+    before = {key: spark.conf.get(key) for key in WRITE_SETTINGS}
+    for key, value in WRITE_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def clustered_for_write(df, column):
     """Bring the rows of a partition value together before the write.
 
-    The rebalance hint shuffles by ``column`` and lets adaptive execution merge
-    small days and split a day that is too large for one task.
+    The rebalance hint shuffles by ``column`` and lets adaptive execution split a
+    value that is too large for one task.
     """
     return df.hint("rebalance", column).sortWithinPartitions(column)
 
@@ -47,11 +55,9 @@ def write_table(df, table, disposition=OVERWRITE_PARTITIONS, cluster_by="trade_d
     rows = df.select(*spark.table(table).columns)
     if cluster_by:
         rows = clustered_for_write(rows, cluster_by)
-    if disposition == APPEND:
-        rows.write.mode("append").insertInto(table)
-    else:
-        with dynamic_overwrite(spark):
-            rows.write.mode("overwrite").insertInto(table)
+    mode = "append" if disposition == APPEND else "overwrite"
+    with write_settings(spark):
+        rows.write.mode(mode).insertInto(table)
 
 
 def _create(spark, table, layout, location):

@@ -39,16 +39,22 @@ def read_inferred(spark, path):
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
-def within_file_days(days, slack_days=0):
+def within_file_days(days, slack_days=0, undated=False):
     """Predicate on the file name. Spark applies it to the file listing, so files
-    of other days are not opened."""
+    of other days are not opened. ``undated`` keeps files not named by a day."""
     wanted = days.widen(slack_days, slack_days)
     name = F.col("_metadata.file_name")
     after = wanted.widen(after=1).end
-    return (name >= F.lit(wanted.start.isoformat())) & (name < F.lit(after.isoformat()))
+    inside = (name >= F.lit(wanted.start.isoformat())) & (name < F.lit(after.isoformat()))
+    return inside | ~name.rlike(r"^\d{4}-\d{2}-\d{2}") if undated else inside
 
 
-def scan_bars(spark, path, days=None, slack_days=SLACK_DAYS):
+def _origin(with_path):
+    origin = [day_in_file_name().alias(FILE_DAY)]
+    return origin + [F.col("_metadata.file_path").alias("path")] if with_path else origin
+
+
+def scan_bars(spark, path, days=None, slack_days=SLACK_DAYS, with_path=False):
     """Typed raw rows; unparsable cells are NULL.
 
     ``days`` limits the scan to the files of those days and ``slack_days`` around
@@ -57,8 +63,8 @@ def scan_bars(spark, path, days=None, slack_days=SLACK_DAYS):
     # All eight columns are selected: the header check covers only columns read.
     rows = read_csv(spark, path, RAW_TYPED)
     if days is not None:
-        rows = rows.filter(within_file_days(days, slack_days))
-    return rows.select(*RAW_COLUMNS, day_in_file_name().alias(FILE_DAY))
+        rows = rows.filter(within_file_days(days, slack_days, undated=True))
+    return rows.select(*RAW_COLUMNS, *_origin(with_path))
 
 
 def _text_reader(spark):
@@ -107,7 +113,9 @@ def _fail_for(spark, path):
     raise MissingColumnsError(f"{path} is missing expected columns: {', '.join(missing)}")
 
 
-def scan_text(spark, path, days=None, slack_days=0, one_header=False):
+def scan_text(
+    spark, path, days=None, slack_days=0, one_header=False, with_path=False
+):
     """Raw rows as text, columns bound by the name in each file's own header.
 
     Extra columns are ignored, short rows are filled with NULL. Files are grouped
@@ -119,7 +127,7 @@ def scan_text(spark, path, days=None, slack_days=0, one_header=False):
         columns = _text_reader(spark).csv(path).columns
         if set(RAW_COLUMNS) - set(columns):
             _fail_for(spark, path)
-        return _text_rows(spark, path, columns, days, slack_days)
+        return _text_rows(spark, path, columns, days, slack_days, with_path)
 
     # One entry per file, like the file listing the driver holds for any scan.
     found = file_headers(spark, path, days, slack_days).collect()
@@ -132,9 +140,9 @@ def scan_text(spark, path, days=None, slack_days=0, one_header=False):
         files_by_header.setdefault(f.header, []).append(f.path)
     if len(files_by_header) < 2:
         columns = _cells(found[0].header) if found else RAW_COLUMNS
-        return _text_rows(spark, path, columns, days, slack_days)
+        return _text_rows(spark, path, columns, days, slack_days, with_path)
     parts = [
-        _text_rows(spark, files, _cells(header), None, 0)
+        _text_rows(spark, files, _cells(header), None, 0, with_path)
         for header, files in sorted(files_by_header.items())
     ]
     return reduce(DataFrame.unionByName, parts)
@@ -148,21 +156,30 @@ def _text_schema(columns):
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def _text_rows(spark, path, columns, days, slack_days):
+def _text_rows(spark, path, columns, days, slack_days, with_path):
     rows = (
         _text_reader(spark).schema(_text_schema(columns)).option("enforceSchema", False).csv(path)
     )
     if days is not None:
         rows = rows.filter(within_file_days(days, slack_days))
-    return rows.select(*RAW_COLUMNS, day_in_file_name().alias(FILE_DAY))
+    return rows.select(*RAW_COLUMNS, *_origin(with_path))
+
+
+def _on_file_system(spark, path):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def path_exists(spark, path):
     """Whether a file or directory exists, on whichever file system it names."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    configuration = spark.sparkContext._jsc.hadoopConfiguration()
-    return bool(target.getFileSystem(configuration).exists(target))
+    target, file_system = _on_file_system(spark, path)
+    return bool(file_system.exists(target))
+
+
+def full_path(spark, path):
+    """The path as ``_metadata.file_path`` spells it, without a trailing slash."""
+    target, file_system = _on_file_system(spark, path)
+    return file_system.makeQualified(target).toUri().toString().rstrip("/")
 
 
 def read_table(spark, table):
