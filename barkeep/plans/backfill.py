@@ -20,6 +20,7 @@ from barkeep.schema import FILE_DAY
 from barkeep.scratch import stage
 from barkeep.sinks.tables import OVERWRITE_PARTITIONS, create_bars_table, write_table
 from barkeep.sources.raw_files import (
+    comparable,
     full_path,
     list_files,
     path_exists,
@@ -56,13 +57,13 @@ class _Item:
     root: str
 
 
-def _outermost(roots):
-    """Paths that are not below another one, so that no file is scanned twice."""
+def _outermost(items):
+    """Input paths that are not below another one, so that no file is scanned twice."""
     kept = []
-    for root in sorted(set(roots)):
-        if not (kept and (root == kept[-1] or root.startswith(kept[-1] + "/"))):
-            kept.append(root)
-    return kept
+    for item in sorted(items, key=lambda i: i.root + "/"):
+        if not (kept and (item.root + "/").startswith(kept[-1].root + "/")):
+            kept.append(item)
+    return [i.input_path for i in kept]
 
 
 def _files_by_range(spark, items, roots):
@@ -71,7 +72,7 @@ def _files_by_range(spark, items, roots):
         [(i.range_id, i.start_date, i.end_date, i.root) for i in items],
         "range_id int, start_date date, end_date date, root string",
     )
-    steps = F.split("path", "/")
+    steps = F.split(comparable("path"), "/")
     above = F.transform(
         F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/")
     )
@@ -95,12 +96,12 @@ def backfill(spark, ranges, table, mode=PERMISSIVE, one_header=True):
         for r in ranges.collect()
     ]
     create_bars_table(spark, table)
-    roots = [r for r in _outermost(i.root for i in items) if path_exists(spark, r)]
-    items_below = [i for i in items if path_exists(spark, i.input_path)]
+    present = [i for i in items if path_exists(spark, i.input_path)]
 
     files, counts = {}, {}
-    if items_below and roots:
-        pairs = stage(_files_by_range(spark, items_below, roots), "backfill-files")
+    if present:
+        roots = _outermost(present)
+        pairs = stage(_files_by_range(spark, present, roots), "backfill-files")
         per_range = pairs.groupBy("range_id").agg(F.count("*").alias("files"))
         files = {r.range_id: r.files for r in per_range.collect()}
         rows = stage(_rows_by_range(spark, roots, pairs, mode, one_header), "backfill-rows")

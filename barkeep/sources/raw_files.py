@@ -4,6 +4,7 @@ A scan accepts the root, a directory below it or exact files. Every row carries
 ``file_day``, the day in the name of its file.
 """
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -123,15 +124,16 @@ def scan_text(
     ``one_header`` where all files are known to share a header: that saves the
     header pass, and a file that differs fails the query.
     """
+    listing = list_files(spark, path, days, slack_days)
     if one_header:
-        columns = _text_reader(spark).csv(path).columns
+        first = listing.agg(F.min("path").alias("path")).first().path
+        columns = _text_reader(spark).csv(first).columns if first else RAW_COLUMNS
         if set(RAW_COLUMNS) - set(columns):
-            _fail_for(spark, path)
+            _fail_for(spark, first)
         return _text_rows(spark, path, columns, days, slack_days, with_path)
 
     # One entry per file, like the file listing the driver holds for any scan.
     found = file_headers(spark, path, days, slack_days).collect()
-    listing = list_files(spark, path, days, slack_days)
     if listing.count() != len({f.path for f in found}):
         bare = {r.path for r in listing.collect()} - {f.path for f in found}
         _fail_for(spark, min(bare))
@@ -177,9 +179,19 @@ def path_exists(spark, path):
 
 
 def full_path(spark, path):
-    """The path as ``_metadata.file_path`` spells it, without a trailing slash."""
+    """The path with its file system, encoded as in ``_metadata.file_path``, without
+    a trailing slash; compare it with ``comparable`` paths."""
     target, file_system = _on_file_system(spark, path)
-    return file_system.makeQualified(target).toUri().toString().rstrip("/")
+    text = file_system.makeQualified(target).toUri().toString().rstrip("/")
+    return re.sub(SCHEME, r"\1:/", text)
+
+
+# One slash after the scheme: file:/x and file:///x are the same file.
+SCHEME = "^([a-z0-9]+):/+"
+
+
+def comparable(path_column):
+    return F.regexp_replace(path_column, SCHEME, "$1:/")
 
 
 def read_table(spark, table):

@@ -141,9 +141,15 @@ def bars_append(spark, sf_dir):
 
 
 def bars_volume_widened(spark, sf_dir):
+    """A table whose volume is still a bigint, given the type it has today."""
     name, location = fresh_table(spark, "widened")
-    rows = bars(spark, sf_dir).withColumn("volume", F.col("volume").cast("long"))
-    rows.write.partitionBy("trade_date").format("parquet").saveAsTable(name, path=location)
+    spark.sql(
+        f"CREATE TABLE {name} (ticker string, trade_date date, window_start bigint,"
+        " volume bigint, open double, close double, high double, low double,"
+        " transactions bigint) USING parquet PARTITIONED BY (trade_date)"
+        f" LOCATION '{location}'"
+    )
+    write_table(bars(spark, sf_dir).withColumn("volume", F.col("volume").cast("long")), name)
     widen_column(spark, name, "volume", "double", f"{location}-double")
     return read_table(spark, name)
 
