@@ -1,0 +1,149 @@
+import datetime as dt
+import json
+
+import pytest
+from conftest import line
+
+from barkeep.__main__ import main
+from barkeep.functions.ranges import DayRange, days_back, loader_request, parse_day, staging_request
+from barkeep.functions.columns import raw_key
+from barkeep.operators.counters import load_counters
+from barkeep.operators.manifest import staging_manifest, staging_summary
+from barkeep.operators.profile import profile
+from barkeep.operators.ranges import count_by_range, match_ranges
+from barkeep.plans.daily import daily_update
+from barkeep.plans.load import bars_from_text, load_bars
+from barkeep.scratch import scratch_root, stage
+from barkeep.sources.raw_files import list_files, scan_text
+from barkeep.streaming.ingest import ingest_new_files
+
+NOW = dt.datetime(2024, 1, 10, 3, 0, tzinfo=dt.timezone.utc)  # still the 9th in New York
+
+
+def test_staging_requests():
+    assert staging_request("2024-01-01", "2024-01-03") == DayRange.of("2024-01-01", "2024-01-03")
+    assert staging_request(trade_date="2024-01-02") == DayRange.of("2024-01-02")
+    assert staging_request(now=NOW) == DayRange.of("2024-01-04", "2024-01-08")
+    assert staging_request(lookback_days=1, now=NOW) == DayRange.of("2024-01-08")
+    with pytest.raises(ValueError, match="before start"):
+        staging_request("2024-01-03", "2024-01-01")
+    with pytest.raises(ValueError):
+        staging_request(lookback_days=0, now=NOW)
+
+
+def test_loader_requests():
+    assert loader_request(now=NOW) == DayRange.of("2024-01-08")
+    assert loader_request("2024-01-05", lookback_days=3) == DayRange.of("2024-01-03", "2024-01-05")
+    assert loader_request(days_ago=0, zone="UTC", now=NOW) == DayRange.of("2024-01-10")
+    assert len(days_back(parse_day("2024-01-05"), 0)) == 1
+    assert len(DayRange.of("2024-02-27", "2024-03-01").days()) == 4
+
+
+def test_raw_key(spark):
+    day = spark.createDataFrame([(dt.date(2024, 1, 2),)], "d date")
+    assert day.select(raw_key("/raw/x/", "d")).first()[0] == "raw/x/year=2024/month=01/2024-01-02.csv.gz"
+
+
+def test_manifest(spark, raw_zone):
+    for day in ("2024-01-02", "2024-01-04"):
+        raw_zone(day, [line("A", day)])
+    days = DayRange.of("2024-01-01", "2024-01-04")
+    manifest = staging_manifest(list_files(spark, raw_zone.root, days), days)
+    assert [(str(r.trade_date), r.status, r.files) for r in manifest.orderBy("trade_date").collect()] == [
+        ("2024-01-01", "MISSING", 0),
+        ("2024-01-02", "AVAILABLE", 1),
+        ("2024-01-03", "MISSING", 0),
+        ("2024-01-04", "AVAILABLE", 1),
+    ]
+    summary = staging_summary(manifest, raw_zone.root).first()
+    assert (summary.status, str(summary.daily_start_date), str(summary.daily_end_date)) == (
+        "STAGED", "2024-01-02", "2024-01-04",
+    )
+    assert [p[-17:] for p in summary.raw_paths] == ["2024-01-02.csv.gz", "2024-01-04.csv.gz"]
+    none = DayRange.of("2023-01-01", "2023-01-02")
+    summary = staging_summary(staging_manifest(list_files(spark, raw_zone.root, none), none), "x").first()
+    assert (summary.status, summary.available_dates, summary.daily_end_date) == ("NO_DATA", [], None)
+
+
+def test_counters(spark, raw_zone):
+    raw_zone("2024-01-02", [line("a", "2024-01-02"), line("A", "2024-01-02"), line("", "2024-01-02")])
+    raw_zone("2024-01-03", [line("A", "2024-01-03")])
+    raw = scan_text(spark, raw_zone.root)
+    assert tuple(load_counters(raw, bars_from_text(raw)).first()) == (2, 4, 2)
+
+
+def test_ranges_may_overlap_and_be_empty(spark):
+    day = dt.date
+    bars = spark.createDataFrame([(day(2024, 1, d),) for d in (1, 1, 2, 5)], "trade_date date")
+    ranges = spark.createDataFrame(
+        [
+            (0, day(2024, 1, 1), day(2024, 1, 2)),
+            (1, day(2024, 1, 2), day(2024, 1, 9)),
+            (2, day(2025, 1, 1), day(2025, 1, 2)),
+        ],
+        "range_id int, start_date date, end_date date",
+    )
+    counts = {r.range_id: r.bars for r in count_by_range(bars, ranges).collect()}
+    assert counts == {0: 3, 1: 2, 2: 0}
+    assert match_ranges(bars, ranges).count() == 5
+
+
+def test_profile(spark):
+    df = spark.createDataFrame([(2, None), (1, "a"), (3, "c")], "id long, name string")
+    found = profile(df, 2, ["id"])
+    assert found.rows == 3 and "id: long" in found.schema
+    assert [json.loads(r) for r in found.sample] == [{"id": 1, "name": "a"}, {"id": 2, "name": None}]
+
+
+def test_stage_writes_below_the_checkpoint_setting(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert scratch_root(spark) == root
+    staged = stage(spark.range(3), "rows")
+    assert staged.inputFiles()[0].replace("file://", "").startswith(root)
+
+
+def table_rows(spark, table, *columns):
+    return sorted(tuple(map(str, r)) for r in spark.table(table).select(*columns).collect())
+
+
+def test_stream_in_steps_equals_one_batch_load(spark, raw_zone, table_name, tmp_path):
+    columns = ("ticker", "trade_date", "open")
+    checkpoint = str(tmp_path / "checkpoint")
+    for step, day in enumerate(("2024-01-02", "2024-01-03", "2024-01-04"), 1):
+        raw_zone(day, [line("A", day, price=f"{step}.0"), line("b", day)])
+        ingest_new_files(spark, raw_zone.root, table_name, checkpoint, files_per_batch=1)
+        assert spark.table(table_name).count() == 2 * step
+    query = ingest_new_files(spark, raw_zone.root, table_name, checkpoint)
+    assert not [p for p in query.recentProgress if p["numInputRows"]]
+    load_bars(spark, raw_zone.root, f"{table_name}_batch")
+    assert table_rows(spark, table_name, *columns) == table_rows(spark, f"{table_name}_batch", *columns)
+
+
+def test_daily_run_twice_equals_once(spark, raw_zone, table_name):
+    for day in ("2023-01-03", "2024-01-02"):
+        raw_zone(day, [line("A", day, high="9.0" if day < "2024" else "3.0")])
+    bars, metrics = f"{table_name}_bars", f"{table_name}_metrics"
+    columns = ("trade_date", "past_high_52_weeks", "future_high_52_weeks")
+    daily_update(spark, raw_zone.root, bars, metrics, DayRange.of("2023-01-03"))
+    assert table_rows(spark, metrics, *columns) == [("2023-01-03", "None", "None")]
+    for _ in range(2):
+        summary = daily_update(spark, raw_zone.root, bars, metrics, DayRange.of("2024-01-01", "2024-01-03"))
+        assert summary.status == "STAGED"
+        assert table_rows(spark, metrics, *columns) == [
+            ("2023-01-03", "None", "3.0"),
+            ("2024-01-02", "9.0", "None"),
+        ]
+    nothing = daily_update(spark, raw_zone.root, "not_created", metrics, DayRange.of("2022-01-01"))
+    assert nothing.status == "NO_DATA" and not spark.catalog.tableExists("not_created")
+
+
+def test_command_line(spark, raw_zone, table_name):
+    raw_zone("2024-01-02", [line("A", "2024-01-02")])
+    bars, metrics = f"{table_name}_b", f"{table_name}_m"
+    main(["create-tables", "--table", bars, "--target-table", metrics])
+    main(["load", "--input-path", raw_zone.root, "--table", bars])
+    days = ["--start-date", "2024-01-02", "--end-date", "2024-01-02"]
+    main(["metrics", "--source-table", bars, "--target-table", metrics, *days])
+    assert spark.table(metrics).count() == 1
+    assert main(["manifest", "--input-path", raw_zone.root, *days])["status"] == "STAGED"
+    assert main(["profile", "--input-path", raw_zone.root + "/*/*"])["rows"] == 1

@@ -102,9 +102,8 @@ WHERE EXISTS (SELECT 1 FROM bars y
 """,
     "metrics_upsert": BARS
     + f""", known AS (SELECT * FROM bars WHERE trade_date <= '{FIRST}'),
-later AS (SELECT * FROM bars WHERE trade_date <= '{LAST}'),
 target AS ({extremes("known", "DATE '1995-01-01'", f"DATE '{FIRST}'")}),
-source AS ({extremes("later", *IMPACTED)})
+source AS ({extremes("bars", f"DATE '{FIRST}' - 364", "DATE '2001-12-31'")})
 SELECT * FROM source
 UNION ALL
 SELECT * FROM target t WHERE NOT EXISTS (

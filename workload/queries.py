@@ -155,15 +155,14 @@ def bars_volume_widened(spark, sf_dir):
 
 
 def metrics_upsert(spark, sf_dir):
-    """Metrics of the bars known by an earlier day, then updated with later bars."""
+    """Metrics of the bars known by some day, then updated when all bars are there."""
     rows = bars(spark, sf_dir)
     name, location = fresh_table(spark, "metrics")
     create_metrics_table(spark, name, location)
-    known = bounded(rows, end=SOME_DAYS[0])
-    write_table(range_extremes(known, ALL_DAYS[0], SOME_DAYS[0], unique_days=True), name)
-    days = output_range(*SOME_DAYS, DAILY_IMPACTED)
-    later = bounded(rows, end=SOME_DAYS[1])
-    upsert_table(name, range_extremes(later, days.start, days.end, unique_days=True))
+    today = SOME_DAYS[0]
+    write_table(range_extremes(bounded(rows, end=today), ALL_DAYS[0], today, unique_days=True), name)
+    days = output_range(today, ALL_DAYS[1], DAILY_IMPACTED)
+    upsert_table(name, range_extremes(rows, days.start, days.end, unique_days=True))
     return read_table(spark, name)
 
 
