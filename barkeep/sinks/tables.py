@@ -16,10 +16,12 @@ OVERWRITE_PARTITIONS = "overwrite_partitions"
 
 # For the time of a write. The writer option for dynamic overwrite has no effect on
 # insertInto, so the session must say it. How many files are written depends on the
-# days, not on the tasks, so merging tasks would only open the files one by one.
+# days, not on the tasks, so merging tasks would only open the files one by one. The
+# advisory size is where the rebalance splits a large day.
 WRITE_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
 }
 
 
@@ -39,9 +41,11 @@ def clustered_for_write(df, column):
     """Bring the rows of a partition value together before the write.
 
     The rebalance hint shuffles by ``column`` and lets adaptive execution split a
-    value that is too large for one task.
+    value that is too large for one task. Sorting by ticker inside a value makes the
+    files smaller and lets readers skip row groups.
     """
-    return df.hint("rebalance", column).sortWithinPartitions(column)
+    order = [column] + [c for c in df.columns if c == "ticker" and c != column]
+    return df.hint("rebalance", column).sortWithinPartitions(*order)
 
 
 def write_table(df, table, disposition=OVERWRITE_PARTITIONS, cluster_by="trade_date"):

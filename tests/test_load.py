@@ -232,3 +232,21 @@ def test_malformed_bound_fails_before_a_job_runs(spark, raw_zone):
     file = raw_zone("2024-01-02", [line("A", "2024-01-02")])
     with pytest.raises(ValueError):
         bars_from_raw(scan_bars(spark, file), start="2024-13-01")
+
+
+def test_files_not_named_by_a_day_are_read_whatever_the_bounds(spark, raw_zone):
+    import os
+
+    file = raw_zone("2024-01-02", [line("A", "2024-01-02"), line("A", "2024-01-03")])
+    plain = os.path.join(os.path.dirname(file), "export.csv.gz")
+    os.rename(file, plain)
+    raw = scan_bars(spark, raw_zone.root, DayRange.of("2024-01-02"))
+    assert bars_from_raw(raw, "2024-01-02", "2024-01-02").count() == 1
+
+
+def test_a_day_split_over_several_files(spark, raw_zone):
+    raw_zone("2024-01-02", [line("A", "2024-01-02")])
+    raw_zone("2024-01-02-1", [line("B", "2024-01-02")])
+    day = DayRange.of("2024-01-02")
+    assert scan_bars(spark, raw_zone.root, day).count() == 2
+    assert {r.file_day for r in scan_text(spark, raw_zone.root, day).collect()} == {day.start}
