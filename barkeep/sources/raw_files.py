@@ -209,3 +209,27 @@ def read_ranges(spark, path):
     return listed.select(F.posexplode("months").alias("range_id", "item")).select(
         "range_id", "item.input_path", "item.start_date", "item.end_date"
     )
+
+
+def monthly_ranges(spark, prefix, days):
+    """The work list for a period: a range per month of ``days``, the first and last
+    cut at the period's ends, each with the month's directory below ``prefix``."""
+    months = F.sequence(
+        F.trunc(F.lit(days.start), "month"), F.lit(days.end), F.expr("interval 1 month")
+    )
+    month = F.col("month")
+    below = F.date_format(month, "'/year='yyyy'/month='MM'/'")
+    return spark.range(1).select(F.posexplode(months).alias("range_id", "month")).select(
+        "range_id",
+        F.concat(F.lit(prefix.rstrip("/")), below).alias("input_path"),
+        F.greatest(month, F.lit(days.start)).alias("start_date"),
+        F.least(F.last_day(month), F.lit(days.end)).alias("end_date"),
+    )
+
+
+def write_ranges(ranges, path):
+    """Save a work list in the form ``read_ranges`` reads."""
+    item = F.struct("range_id", "input_path", "start_date", "end_date")
+    listed = ranges.agg(F.sort_array(F.collect_list(item)).alias("months"))
+    without_id = "transform(months, m -> struct(m.input_path, m.start_date, m.end_date))"
+    listed.select(F.expr(without_id).alias("months")).coalesce(1).write.json(path)

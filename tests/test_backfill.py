@@ -5,7 +5,8 @@ import pytest
 from conftest import line
 
 from barkeep.plans.backfill import FAILED, SUCCEEDED, backfill
-from barkeep.sources.raw_files import read_ranges
+from barkeep.functions.ranges import DayRange
+from barkeep.sources.raw_files import monthly_ranges, read_ranges, write_ranges
 
 
 def work_list(spark, path, items):
@@ -72,3 +73,14 @@ def test_later_range_decides_a_shared_day(spark, raw_zone, table_name):
     items = [(str(base / r), "2024-01-01", "2024-01-31") for r in ("one", "two")]
     backfill(spark, work_list(spark, base, items), table_name)
     assert loaded(spark, table_name) == [("AA", "2024-01-02", 7.0), ("AA", "2024-01-03", 1.0)]
+
+
+def test_monthly_work_list(spark, tmp_path):
+    months = monthly_ranges(spark, "s3://zone/bars/", DayRange.of("2024-01-01", "2026-04-24"))
+    write_ranges(months, str(tmp_path / "list"))
+    rows = read_ranges(spark, str(tmp_path / "list")).orderBy("range_id").collect()
+    assert len(rows) == 28
+    assert tuple(rows[1]) == (
+        1, "s3://zone/bars/year=2024/month=02/", dt.date(2024, 2, 1), dt.date(2024, 2, 29)
+    )
+    assert (rows[-1].start_date, rows[-1].end_date) == (dt.date(2026, 4, 1), dt.date(2026, 4, 24))

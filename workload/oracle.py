@@ -59,11 +59,16 @@ SOME_BARS = BARS + f"SELECT * FROM bars WHERE trade_date BETWEEN '{FIRST}' AND '
 ALL_METRICS = BARS + extremes("bars", *WHOLE)
 
 MONTHS = """
-, months AS (
-  SELECT DISTINCT CAST(date_trunc('month', trade_date) AS DATE) AS start_date FROM normalized
+, span AS (
+  SELECT min(trade_date) AS first_day, max(trade_date) AS last_day FROM normalized
+), months AS (
+  SELECT CAST(unnest(generate_series(date_trunc('month', first_day), CAST(last_day AS TIMESTAMP),
+                                     INTERVAL 1 MONTH)) AS DATE) AS month FROM span
 ), ranges AS (
-  SELECT start_date, last_day(start_date) AS end_date FROM months
-  UNION ALL SELECT DATE '2003-01-01', DATE '2003-01-31'
+  SELECT month, greatest(month, first_day) AS start_date,
+         least(last_day(month), span.last_day) AS end_date
+  FROM months, span
+  UNION ALL SELECT DATE '2003-01-01', DATE '2003-01-01', DATE '2003-01-31'
 )
 """
 
@@ -194,7 +199,7 @@ FROM normalized
     + MONTHS
     + """
 SELECT row_number() OVER (ORDER BY start_date) - 1 AS range_id,
-       '/raw' || strftime(start_date, '/year=%Y/month=%m/') AS input_path,
+       '/raw' || strftime(month, '/year=%Y/month=%m/') AS input_path,
        start_date, end_date
 FROM ranges
 """,

@@ -19,11 +19,13 @@ from barkeep.sinks.tables import APPEND, create_metrics_table, widen_column, wri
 from barkeep.sinks.upsert import upsert_table
 from barkeep.sources.raw_files import (
     list_files,
+    monthly_ranges,
     read_inferred,
     read_ranges,
     read_table,
     scan_bars,
     scan_text,
+    write_ranges,
 )
 from barkeep.streaming.ingest import ingest_new_files
 from workload.inputs import (
@@ -230,23 +232,14 @@ def raw_file_keys(spark, sf_dir):
 
 
 def _month_list(spark, sf_dir, root):
-    """Work list with a range per month of the bars, and one whose files are missing."""
+    """Work list with a range per month of the bars, and one whose files are missing;
+    saved and read back."""
     day = F.col("l_shipdate").cast("date")
-    months = table(spark, sf_dir, "lineitem").select(F.trunc(day, "month").alias("start_date")).distinct()
-    items = months.select(
-        F.concat(F.lit(root), F.date_format("start_date", "'/year='yyyy'/month='MM'/'")).alias("input_path"),
-        "start_date",
-        F.last_day("start_date").alias("end_date"),
-    )
-    missing = spark.range(1).select(
-        F.lit(f"{root}/year=2003/month=01/").alias("input_path"),
-        F.to_date(F.lit("2003-01-01")).alias("start_date"),
-        F.to_date(F.lit("2003-01-31")).alias("end_date"),
-    )
-    item = F.struct("start_date", "input_path", "end_date")
-    listed = items.unionByName(missing).agg(F.sort_array(F.collect_list(item)).alias("months"))
+    span = table(spark, sf_dir, "lineitem").agg(F.min(day).alias("a"), F.max(day).alias("b")).first()
+    months = monthly_ranges(spark, root, DayRange(span.a, span.b))
+    missing = monthly_ranges(spark, root, DayRange.of("2003-01-01", "2003-01-31"))
     path = fresh_dir(spark, "ranges")
-    listed.coalesce(1).write.json(path)
+    write_ranges(months.unionByName(missing.withColumn("range_id", F.lit(1_000_000))), path)
     return read_ranges(spark, path)
 
 
