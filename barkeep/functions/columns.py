@@ -1,6 +1,7 @@
 """Column expressions; all of them are built-in functions, none is a Python UDF."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NANOS_PER_SECOND = 1_000_000_000
 SECONDS_PER_DAY = 86_400
@@ -57,3 +58,8 @@ def raw_key(prefix, date_column):
     # Fixed value: the directory and file naming of the raw zone.
     layout = "'/year='yyyy'/month='MM'/'yyyy-MM-dd'.csv.gz'"
     return F.concat(F.lit(prefix.strip("/")), F.date_format(day, layout))
+
+
+def fixed_width_first(df, keys):
+    """Keys in the order that sorts fastest: text last, where fewer rows compare it."""
+    return sorted(keys, key=lambda k: isinstance(df.schema[k].dataType, T.StringType))

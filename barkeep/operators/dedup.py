@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from barkeep.functions.columns import fixed_width_first
 from barkeep.schema import BAR_KEY, FILE_DAY
 
 # The last file wins, within a file the newest window_start; the other columns
@@ -26,7 +27,6 @@ def latest_per_key(df, keys=BAR_KEY, newest_first=NEWEST_FIRST):
     map task sends at most one row per key, however many copies a key has.
     """
     order = [F.col(c).desc() for c in newest_first if c in df.columns]
-    ranked = df.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    )
+    by_key = Window.partitionBy(*fixed_width_first(df, keys)).orderBy(*order)
+    ranked = df.withColumn("_rank", F.row_number().over(by_key))
     return ranked.filter(F.col("_rank") == 1).drop("_rank", FILE_DAY)

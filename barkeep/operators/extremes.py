@@ -61,4 +61,4 @@ def range_extremes(bars, start, end, unique_days=False):
         _with_extremes(days).filter(output.contains("trade_date")).drop("high", "low")
     )
     wanted = bars.filter(output.contains("trade_date"))
-    return wanted.join(extremes, ["ticker", "trade_date"]).select(*METRIC_COLUMNS)
+    return wanted.join(extremes, ["trade_date", "ticker"]).select(*METRIC_COLUMNS)

@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from barkeep.functions.columns import fixed_width_first
+
 
 class DuplicateKeyError(ValueError):
     """Rows to be merged are not unique by key."""
@@ -27,5 +29,5 @@ def merged(target, source, keys):
 
     Update if matched, insert otherwise; nothing is deleted.
     """
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+    kept = target.join(source.select(*keys), fixed_width_first(target, keys), "left_anti")
     return kept.unionByName(source)

@@ -128,7 +128,10 @@ def test_dedup_does_not_depend_on_order_or_partitioning(spark, raw_zone):
 
 def test_dedup_limits_before_the_shuffle(spark):
     plan = latest_per_key(
-        spark.createDataFrame([("A", dt.date(2024, 1, 2), 1)], "ticker string, trade_date date, window_start long")
+        spark.createDataFrame(
+            [("A", dt.date(2024, 1, 2), 1)],
+            "ticker string, trade_date date, window_start long",
+        )
     )._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
 
@@ -250,3 +253,15 @@ def test_a_day_split_over_several_files(spark, raw_zone):
     day = DayRange.of("2024-01-02")
     assert scan_bars(spark, raw_zone.root, day).count() == 2
     assert {r.file_day for r in scan_text(spark, raw_zone.root, day).collect()} == {day.start}
+
+
+def test_one_sided_bounds(spark, raw_zone, table_name):
+    for day in ("2024-01-02", "2024-01-05", "2024-01-08"):
+        raw_zone(day, [line("A", day)])
+
+    def loaded(name, **bounds):
+        load_bars(spark, raw_zone.root, name, **bounds)
+        return sorted(str(r.trade_date) for r in spark.table(name).collect())
+
+    assert loaded(f"{table_name}_a", start="2024-01-05") == ["2024-01-05", "2024-01-08"]
+    assert loaded(f"{table_name}_b", end="2024-01-05") == ["2024-01-02", "2024-01-05"]

@@ -10,6 +10,7 @@ from barkeep.plans.load import load_relational
 from barkeep.sinks.relational import (
     ensure_target,
     read_relational,
+    upsert_relational,
     upsert_statements,
     widen_statement,
 )
@@ -72,3 +73,13 @@ def test_ensure_target_twice_and_statements(spark, database):
         'ALTER TABLE "market"."daily" ALTER COLUMN "volume" SET DATA TYPE DOUBLE PRECISION'
     )
     assert "DISTINCT" in upsert_statements("market", "daily", "stage")[1]
+
+
+def test_rows_staged_twice_by_a_rerun_task_count_once(spark, raw_zone, database):
+    from barkeep.plans.load import bars_from_text
+    from barkeep.sources.raw_files import scan_text
+
+    raw_zone("2024-01-02", [line("A", "2024-01-02"), line("B", "2024-01-02")])
+    ensure_target(spark, database, "market", "daily")
+    rows = bars_from_text(scan_text(spark, raw_zone.root))
+    assert upsert_relational(rows.union(rows), database, "market", "daily") == 2

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 
 from barkeep.operators.merge import DuplicateKeyError, merged, require_unique
+from barkeep.plans.metrics import update_metrics
 from barkeep.schema import BARS
 from barkeep.sinks.tables import (
     create_bars_table,
@@ -81,7 +82,8 @@ def test_widen_column(spark, table_name):
         f"CREATE TABLE {table_name} (ticker string, volume bigint, trade_date date)"
         " USING parquet PARTITIONED BY (trade_date)"
     )
-    spark.sql(f"INSERT INTO {table_name} VALUES ('A', 5, date'2024-01-02'), ('B', NULL, date'2024-01-03')")
+    values = "('A', 5, date'2024-01-02'), ('B', NULL, date'2024-01-03')"
+    spark.sql(f"INSERT INTO {table_name} VALUES {values}")
     assert widen_column(spark, table_name, "volume", "double")
     assert dict(spark.table(table_name).dtypes)["volume"] == "double"
     assert sorted((r.ticker, r.volume) for r in spark.table(table_name).collect()) == [("A", 5.0), ("B", None)]
@@ -101,3 +103,12 @@ def test_create_twice_and_table_properties(spark, table_name):
     assert properties()["write.data.path"] == "/data"
     unset_table_properties(spark, table_name, ["write.data.path"])
     assert "write.data.path" not in properties()
+
+
+def test_metrics_of_a_table_with_repeated_bars_are_refused(spark, table_name):
+    source, target = f"{table_name}_bars", f"{table_name}_metrics"
+    create_bars_table(spark, source)
+    for _ in range(2):
+        write_table(bars(spark, OLD), source, "append")
+    with pytest.raises(DuplicateKeyError):
+        update_metrics(spark, source, target, "2024-01-01", "2024-01-31")
