@@ -74,7 +74,7 @@ class FMIndex:
         """Suffix ranges of patterns given as rows, aligned to the left and padded with 0."""
         lo = np.zeros(len(patterns), np.int64)
         hi = np.full(len(patterns), self.n, np.int64)
-        alive = np.flatnonzero((patterns.max(axis=1, initial=0) < len(self.below) - 1) & (lengths > 0))
+        alive = np.flatnonzero((patterns.max(axis=1, initial=0) < 1 << self.levels) & (lengths > 0))
         hi[np.setdiff1d(np.arange(len(patterns)), alive)] = 0
         for step in range(int(lengths.max(initial=0))):
             alive = alive[lo[alive] < hi[alive]]
