@@ -3,6 +3,7 @@
 from barkeep.llm.decontamination import contamination
 from barkeep.llm.licenses import license_scan
 from barkeep.llm.pieces import piece_digests
+from barkeep.llm.repeats import repeat_digests
 from barkeep.llm.simhash import fingerprint_text, near_duplicates
 from barkeep.llm.token_counts import token_counts
 
@@ -15,6 +16,10 @@ def op1_license_scan(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op2_repeats(spark, sf_dir):
+    return repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark, sf_dir):
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", fingerprint_text().alias("fingerprint"), "component_id")
