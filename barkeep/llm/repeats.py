@@ -59,7 +59,9 @@ def _power(base, n):
     have = _powers.get(base)
     if have is None or len(have) < n:
         size = max(n, 1 << 16)
-        have = np.cumprod(np.concatenate([[1], np.full(size - 1, base, np.uint64)]).astype(np.uint64), dtype=np.uint64)
+        steps = np.full(size, base, np.uint64)
+        steps[0] = 1
+        have = np.cumprod(steps, dtype=np.uint64)
         _powers[base] = have
     return have[:n]
 
