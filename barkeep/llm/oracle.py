@@ -1,3 +1,21 @@
 """SQL twins of the queries that SQL can express."""
 
-ORACLE = {}
+OP3 = """
+with v as (
+  select vec_id, [cast(floor(64 * cast(x as double)) as bigint) for x in embedding] as q
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), pairs as (
+  select a.vec_id as query_id, b.vec_id,
+         cast(list_inner_product(cast(a.q as double[]), cast(b.q as double[])) as bigint) as score
+  from v a join v b on a.vec_id <> b.vec_id
+  where a.vec_id % 20 = 0
+)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
+       vec_id, score
+from pairs
+qualify rank <= 20
+"""
+
+ORACLE = {"op3_exact_topk": OP3}

@@ -6,6 +6,7 @@ from barkeep.llm.pieces import piece_digests
 from barkeep.llm.repeats import repeat_digests
 from barkeep.llm.simhash import fingerprint_text, near_duplicates
 from barkeep.llm.token_counts import token_counts
+from barkeep.llm.topk import top_k
 
 
 def table(spark, sf_dir, name):
@@ -20,6 +21,11 @@ def op2_repeats(spark, sf_dir):
     return repeat_digests(table(spark, sf_dir, "documents"))
 
 
+def op3_exact_topk(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op4_simhash(spark, sf_dir):
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", fingerprint_text().alias("fingerprint"), "component_id")
