@@ -18,4 +18,21 @@ from pairs
 qualify rank <= 20
 """
 
-ORACLE = {"op3_exact_topk": OP3}
+OP8 = """
+with turns as (
+  select distinct conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+), rolled as (
+  select conv_id, turn,
+         string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '')
+           over (partition by conv_id order by turn, role, text rows unbounded preceding) as prefix,
+         count(*) over (partition by conv_id) as n,
+         row_number() over (partition by conv_id order by turn, role, text) as place
+  from turns
+), whole as (
+  select min(conv_id) as conv_id, n as n_turns, prefix as text from rolled where place = n group by n, prefix
+)
+select conv_id, n_turns, text from whole
+where text not in (select prefix from rolled where place < n)
+"""
+
+ORACLE = {"op3_exact_topk": OP3, "op8_chat_format": OP8}

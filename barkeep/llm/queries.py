@@ -1,5 +1,6 @@
 """The registered queries of the training-data operators, each over its whole tables."""
 
+from barkeep.llm.chat import render_conversations
 from barkeep.llm.decontamination import contamination
 from barkeep.llm.licenses import license_scan
 from barkeep.llm.pieces import piece_digests
@@ -35,6 +36,10 @@ def op5_sentencepiece(spark, sf_dir):
     return piece_digests(table(spark, sf_dir, "documents"))
 
 
+def op8_chat_format(spark, sf_dir):
+    return render_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op9_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"))
 
