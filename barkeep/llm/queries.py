@@ -8,6 +8,7 @@ from barkeep.llm.repeats import repeat_digests
 from barkeep.llm.simhash import fingerprint_text, near_duplicates
 from barkeep.llm.token_counts import token_counts
 from barkeep.llm.topk import top_k
+from barkeep.llm.toxicity import toxicity
 
 
 def table(spark, sf_dir, name):
@@ -36,6 +37,10 @@ def op5_sentencepiece(spark, sf_dir):
     return piece_digests(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_chat_format(spark, sf_dir):
     return render_conversations(table(spark, sf_dir, "conversations"))
 
