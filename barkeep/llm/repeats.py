@@ -150,11 +150,13 @@ def _blocks_of(batches, least, block):
 def _rerank(rows, *pair):
     """Rows whose pair is shared with another row, with the pair's ``rank``; ``mixed`` if their outer bytes differ."""
     outer = F.xxhash64("left", "right")
-    shared = (
+    # Staged, so that the join reads plain exchanges and adaptive execution can split a frequent pair.
+    shared = stage(
         rows.groupBy(*pair)
         .agg(F.min("u").alias("new"), F.max("u").alias("other"), F.min(outer).alias("a"), F.max(outer).alias("b"))
         .where("new <> other")
-        .select(*(F.col(c).alias(f"_{c}") for c in pair), F.col("new"), F.expr("a <> b").alias("_mixed"))
+        .select(*(F.col(c).alias(f"_{c}") for c in pair), F.col("new"), F.expr("a <> b").alias("_mixed")),
+        "shared",
     )
     same = [F.col(c) == F.col(f"_{c}") for c in pair]
     on = same[0]
@@ -179,11 +181,12 @@ def repeated_spans(texts, least=LEAST):
         "filed",
     )
     unit = F.xxhash64("th", "at")
-    shared = (
+    shared = stage(
         filed.groupBy("sample")
         .agg(F.min(unit).alias("one"), F.max(unit).alias("other"))
         .where("one <> other")
-        .select(F.col("sample").alias("_sample"))
+        .select(F.col("sample").alias("_sample")),
+        "shared",
     )
     spots = (
         filed.join(shared, F.col("sample") == F.col("_sample"))
@@ -208,6 +211,7 @@ def repeated_spans(texts, least=LEAST):
     alike = covered(cores.where("not mixed"))
     mixed = cores.where("mixed")
     groups = mixed.groupBy("rank", "left", "right").agg(F.min("u").alias("one"), F.max("u").alias("other"))
+    groups = stage(groups, "groups")
     grouped = stage(
         mixed.join(
             groups.select(
