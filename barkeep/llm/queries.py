@@ -4,6 +4,7 @@ from barkeep.llm.chat import render_conversations
 from barkeep.llm.decontamination import contamination
 from barkeep.llm.licenses import license_scan
 from barkeep.llm.pieces import piece_digests
+from barkeep.llm.quality import quality
 from barkeep.llm.repeats import repeat_digests
 from barkeep.llm.simhash import fingerprint_text, near_duplicates
 from barkeep.llm.token_counts import token_counts
@@ -37,6 +38,10 @@ def op5_sentencepiece(spark, sf_dir):
     return piece_digests(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark, sf_dir):
+    return quality(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark, sf_dir):
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
