@@ -294,7 +294,7 @@ def encoded_pieces(docs, vocabulary="piece_bpe_32k.model", id_col="doc_id", text
             for rows, raws in slices(batch, "text"):
                 texts = [raw.decode("utf-8", "replace") for raw in raws]
                 coded = known.encode(texts)
-                ids = [[int(i) for i in c.split(",")] if c else [] for c in coded]
+                ids = [np.fromstring(c, np.int32, sep=",") for c in coded]
                 yield to_batch(schema, rows.column("doc_id"), ids, list(known.texts(coded)))
 
     return pick(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>, decoded string")

@@ -30,7 +30,10 @@ SEGMENTS = ((22, 1), (21, 1), (21, 0))
 ENTRY = 50_000
 PAIRS = 4_000_000
 
-_PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+# Near copies by edited words keep most of their distinct words: those make the fingerprints that
+# decide which documents stay, with several seeds, so that an unlucky one does not lose a pair.
+COPY_SEEDS = (42, 43, 44)
+
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _LANES = np.uint64(0x0101010101010101)
 
@@ -48,6 +51,11 @@ def shingle_hashes(raw, words=WORDS, seed=SEED):
     return [digest(text[a : b - 1], seed) for a, b in zip([0, *ends], ends[words - 1 :])]
 
 
+def word_hashes(raw, seed):
+    """XXH64 of each distinct word of a text."""
+    return [xxhash.xxh64_intdigest(word, seed) for word in set(raw.lower().split())]
+
+
 def fold(hashes):
     """Fingerprints of several texts from their shingle hashes."""
     sizes = np.array([len(h) for h in hashes], np.int64)
@@ -75,16 +83,26 @@ def fold(hashes):
     return prints
 
 
-def fingerprints(docs, words=WORDS, id_col="doc_id", text_col="text"):
-    """``doc_id`` and ``fp`` (as a signed number) per row."""
+def _prints(texts, hashed):
+    """``texts`` with ``text`` replaced by one fingerprint per function of ``hashed``: fp0, fp1, …"""
+    kept = [c for c in texts.columns if c != "text"]
+    names = [f"fp{i}" for i in range(len(hashed))]
 
     def run(batches):
         for batch in batches:
             for rows, raws in slices(batch, "text"):
-                prints = fold([shingle_hashes(raw, words) for raw in raws])
-                yield to_batch(_PRINTS, rows.column("doc_id"), pa.array(prints.view(np.int64)))
+                prints = [pa.array(fold([f(raw) for raw in raws]).view(np.int64)) for f in hashed]
+                arrays = [rows.column(rows.schema.get_field_index(c)) for c in kept]
+                yield pa.RecordBatch.from_arrays([*arrays, *prints], names=[*kept, *names])
+
+    schema = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in kept)
+    return texts.mapInArrow(run, ", ".join([schema, *(f"{n} long" for n in names)]))
 
-    return pick(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+
+def fingerprints(docs, words=WORDS, id_col="doc_id", text_col="text"):
+    """``doc_id`` and ``fp`` (as a signed number) per row."""
+    shingled = lambda raw: shingle_hashes(raw, words)
+    return _prints(pick(docs, id_col, text_col), [shingled]).withColumnRenamed("fp0", "fp")
 
 
 def _entries(prints):
@@ -241,5 +259,40 @@ def near_duplicates(docs, words=WORDS, distance=DISTANCE, id_col="doc_id", text_
     return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
 
 
+def drop_near_duplicates(docs, seeds=COPY_SEEDS, distance=DISTANCE, id_col="doc_id", text_col="text"):
+    """The rows of ``docs`` that stand for their group of near copies, unchanged: one of each group.
+
+    Rows are linked if their distinct words' fingerprints differ in ``distance`` bits or fewer for
+    any of the seeds; of a group the smallest id stays (nulls last, then by the text's MD5), and
+    of rows with that id and text one.
+    """
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    own = docs.withColumn("_id", F.col(f"`{id_col}`").cast("long")).withColumn("_th", F.md5(F.encode(text, "UTF-8")))
+    hashed = [lambda raw, seed=seed: word_hashes(raw, seed) for seed in seeds]
+    prints = stage(_prints(own.select("_id", "_th", text.alias("text")), hashed), "prints")
+    # A node is a fingerprint together with its seed's number; a row ties its fingerprints together.
+    node = lambda i, c: F.struct(F.lit(i).alias("seed"), F.col(c).alias("fp"))
+    edges = None
+    for i in range(len(seeds)):
+        name = f"fp{i}"
+        near = links(prints.select(F.col(name).alias("fp")).distinct(), distance)
+        found = near.select(node(i, "a").alias("a"), node(i, "b").alias("b"))
+        if i:
+            found = found.union(prints.select(node(0, "fp0").alias("a"), node(i, name).alias("b")).distinct())
+        edges = found if edges is None else edges.union(found)
+    roots = components(edges)
+    first = F.struct(F.col("_id").isNull().alias("none"), "_id", "_th")
+    heads = stage(prints.groupBy("fp0").agg(F.min(first).alias("head")), "heads")
+    rooted = heads.join(roots, node(0, "fp0") == F.col("node"), "left")
+    stay = (
+        rooted.groupBy(F.coalesce("root", node(0, "fp0")).alias("root"))
+        .agg(F.min("head").alias("head"))
+        .select(F.col("head._id").alias("_stay_id"), F.col("head._th").alias("_stay_th"))
+    )
+    stay = stage(stay, "stay")
+    kept = own.join(stay, F.col("_id").eqNullSafe(F.col("_stay_id")) & (F.col("_th") == F.col("_stay_th")))
+    return kept.dropDuplicates(["_id", "_th"]).select(*(f"`{c}`" for c in docs.columns))
+
+
 def fingerprint_text(column="fp"):
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))
