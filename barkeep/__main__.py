@@ -46,7 +46,8 @@ def _requested(args):
 
 def job_load(spark, args):
     load_bars(
-        spark, args.input_path, args.table, args.start_date, args.end_date, args.write_disposition
+        spark, args.input_path, args.table, args.start_date, args.end_date, args.write_disposition,
+        args.slack_days,
     )
 
 
@@ -66,7 +67,8 @@ def job_metrics(spark, args):
 def job_daily(spark, args):
     days = _requested(args)
     return daily_update(
-        spark, args.input_path, args.table, args.target_table, days, args.date_range_mode
+        spark, args.input_path, args.table, args.target_table, days, args.date_range_mode,
+        args.slack_days,
     ).asDict()
 
 
@@ -132,6 +134,7 @@ def parser():
 
     sub = job("load", job_load, "--input-path", "--table")
     _bounds(sub)
+    sub.add_argument("--slack-days", type=int, help="open only files of the days and these around them")
     sub.add_argument(
         "--write-disposition", choices=(OVERWRITE_PARTITIONS, APPEND), default=OVERWRITE_PARTITIONS
     )
@@ -144,6 +147,7 @@ def parser():
     sub = job("daily", job_daily, "--input-path", "--table", "--target-table")
     _request(sub)
     sub.add_argument("--date-range-mode", choices=MODES[1:], default=ranges.DAILY_IMPACTED)
+    sub.add_argument("--slack-days", type=int, help="open only files of the days and these around them")
     _request(job("manifest", job_manifest, "--input-path"))
     sub = job("backfill", job_backfill, "--ranges", "--table")
     sub.add_argument("--mode", choices=(PERMISSIVE, STRICT), default=PERMISSIVE)

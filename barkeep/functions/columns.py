@@ -14,7 +14,8 @@ def utc_date(nanos):
     nanoseconds of a day into the next one. No time zone is involved, so the
     result does not depend on the session.
     """
-    seconds = f"({nanos} div {NANOS_PER_SECOND}L)"
+    # Rounded down, also before 1970: the remainder is taken off first.
+    seconds = f"(({nanos} - pmod({nanos}, {NANOS_PER_SECOND}L)) div {NANOS_PER_SECOND}L)"
     midnight = f"({seconds} - pmod({seconds}, {SECONDS_PER_DAY}L))"
     return F.expr(f"date_from_unix_date(cast({midnight} div {SECONDS_PER_DAY}L as int))")
 
@@ -35,8 +36,14 @@ def lenient_cast(name, data_type):
 
 
 def unreadable(name, data_type):
-    """True where there is text but it cannot be read as that type."""
-    return blank_to_null(name).isNotNull() & lenient_cast(name, data_type).isNull()
+    """True where there is text but it cannot be read as that type.
+
+    Spark reads ``1.5d`` and ``1.5f`` as numbers; databases and the file format do not.
+    """
+    refused = lenient_cast(name, data_type).isNull()
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        refused = refused | F.col(name).rlike(r"[0-9.]\s*[dDfF]\s*$")
+    return blank_to_null(name).isNotNull() & refused
 
 
 def strict_cast(name, data_type):

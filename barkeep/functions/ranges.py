@@ -66,7 +66,8 @@ class DayRange:
 
 def days_back(last, lookback_days):
     """``lookback_days`` days (at least one) ending on ``last``."""
-    return DayRange(last - dt.timedelta(days=max(lookback_days, 1) - 1), last)
+    earlier = lookback_days - 1 if lookback_days > 1 else 0
+    return DayRange(last, last).widen(before=earlier)
 
 
 def _today(zone, now):

@@ -20,7 +20,7 @@ NEWEST_FIRST = (
 )
 
 
-def latest_per_key(df, keys=BAR_KEY, newest_first=NEWEST_FIRST):
+def latest_per_key(df, keys=BAR_KEY, newest_first=NEWEST_FIRST, keep_file_day=False):
     """Keep the first row of each key, ordering by ``newest_first`` descending.
 
     ``row_number() = 1`` plans as a group limit on both sides of the shuffle: each
@@ -29,4 +29,5 @@ def latest_per_key(df, keys=BAR_KEY, newest_first=NEWEST_FIRST):
     order = [F.col(c).desc() for c in newest_first if c in df.columns]
     by_key = Window.partitionBy(*fixed_width_first(df, keys)).orderBy(*order)
     ranked = df.withColumn("_rank", F.row_number().over(by_key))
-    return ranked.filter(F.col("_rank") == 1).drop("_rank", FILE_DAY)
+    dropped = ["_rank"] if keep_file_day else ["_rank", FILE_DAY]
+    return ranked.filter(F.col("_rank") == 1).drop(*dropped)

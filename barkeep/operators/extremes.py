@@ -61,4 +61,7 @@ def range_extremes(bars, start, end, unique_days=False):
         _with_extremes(days).filter(output.contains("trade_date")).drop("high", "low")
     )
     wanted = bars.filter(output.contains("trade_date"))
-    return wanted.join(extremes, ["trade_date", "ticker"]).select(*METRIC_COLUMNS)
+    # Bars without a ticker meet their own days as well.
+    extremes = extremes.withColumnsRenamed({"trade_date": "_day", "ticker": "_ticker"})
+    same = (F.col("trade_date") == F.col("_day")) & F.col("ticker").eqNullSafe(F.col("_ticker"))
+    return wanted.join(extremes, same).select(*METRIC_COLUMNS)

@@ -9,26 +9,26 @@ NO_DATA = "NO_DATA"
 
 
 def staging_manifest(files, days):
-    """One row per calendar day: (trade_date, status, files, path).
+    """One row per calendar day: (trade_date, status, files, paths).
 
-    ``files`` holds (trade_date, path); ``path`` is the first file of the day.
+    ``files`` holds (trade_date, path); ``paths`` are all files of the day in order.
     """
     per_day = files.groupBy("trade_date").agg(
-        F.count("*").alias("files"), F.min("path").alias("path")
+        F.count("*").alias("files"), F.sort_array(F.collect_list("path")).alias("paths")
     )
     calendar = days.calendar(files.sparkSession)
     return calendar.join(per_day, "trade_date", "left").select(
         "trade_date",
         F.when(F.col("files").isNull(), MISSING).otherwise(AVAILABLE).alias("status"),
         F.coalesce("files", F.lit(0)).cast("long").alias("files"),
-        "path",
+        "paths",
     )
 
 
 def staging_summary(manifest, input_path):
     """One row for the whole request: overall status, the days by status, the paths
-    and the first and last available day. The arrays hold one entry per requested
-    calendar day at most."""
+    of all their files and the first and last available day. The arrays of days hold
+    one entry per requested calendar day at most."""
 
     def listed(column, status):
         return F.sort_array(F.collect_list(F.when(F.col("status") == status, F.col(column))))
@@ -38,7 +38,7 @@ def staging_summary(manifest, input_path):
         F.when(F.count(available) > 0, STAGED).otherwise(NO_DATA).alias("status"),
         listed("trade_date", AVAILABLE).alias("available_dates"),
         listed("trade_date", MISSING).alias("missing_dates"),
-        listed("path", AVAILABLE).alias("raw_paths"),
+        F.sort_array(F.flatten(F.collect_list("paths"))).alias("raw_paths"),
         F.lit(input_path).alias("input_path"),
         F.min(available).alias("daily_start_date"),
         F.max(available).alias("daily_end_date"),

@@ -4,7 +4,11 @@ A range that fails does not stop the others: only rows of good ranges are writte
 """
 
 from dataclasses import dataclass
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +48,7 @@ RESULT = T.StructType(
         T.StructField("files", T.LongType()),
         T.StructField("bars", T.LongType()),
         T.StructField("unreadable", T.LongType()),
+        T.StructField("error", T.StringType()),
     ]
 )
 
@@ -77,16 +82,18 @@ def _files_by_range(spark, items, roots):
         F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/")
     )
     files = list_files(spark, roots).select("path", F.explode(above).alias("root"))
-    return files.join(F.broadcast(ranges), "root").drop("root")
+    return files.join(ranges, "root").drop("root")
 
 
 def backfill(spark, ranges, table, mode=PERMISSIVE, one_header=True):
     """Load every range of ``ranges`` (range_id, input_path, start_date, end_date).
 
-    A range fails if no file lies below its path or, in ``strict`` mode, if one of
-    its rows has a cell that cannot be read. Where ranges share a day, the last
+    A range fails if no file lies below its path, if its files cannot be read (a header
+    that differs, a corrupt file) or, in ``strict`` mode, if one of its rows has a cell
+    that cannot be read. All ranges are read together; only if that fails is the list
+    halved, again and again, until the failing ranges stand alone. Where ranges share a day, the last
     good one that has bars on it decides, as if the ranges were loaded in order.
-    Returns one row per range with its status, files, bars and unreadable rows.
+    Returns one row per range with its status, files, bars, unreadable rows and error.
     """
     if mode not in (PERMISSIVE, STRICT):
         raise ValueError(f"unknown parse mode: {mode}")
@@ -98,38 +105,76 @@ def backfill(spark, ranges, table, mode=PERMISSIVE, one_header=True):
     create_bars_table(spark, table)
     present = [i for i in items if path_exists(spark, i.input_path)]
 
-    files, counts = {}, {}
-    if present:
-        roots = _outermost(present)
-        pairs = stage(_files_by_range(spark, present, roots), "backfill-files")
-        per_range = pairs.groupBy("range_id").agg(F.count("*").alias("files"))
-        files = {r.range_id: r.files for r in per_range.collect()}
-        rows = stage(_rows_by_range(spark, roots, pairs, mode, one_header), "backfill-rows")
-        per_range = rows.groupBy("range_id").agg(
-            F.count_if(F.col("in_range")).alias("bars"), F.count_if(F.col("unreadable")).alias("unreadable")
-        )
-        counts = {r.range_id: (r.bars, r.unreadable) for r in per_range.collect()}
+    files, counts, errors, read = {}, {}, {}, []
+    for group, error in _isolated(spark, present, mode, one_header):
+        if error is not None:
+            errors[group.range_id] = error
+            continue
+        files.update(group.files)
+        counts.update(group.counts)
+        read.append(group.rows)
 
     results, good = [], []
     for i in items:
         bars, unreadable = counts.get(i.range_id, (0, 0))
-        ok = files.get(i.range_id, 0) > 0 and unreadable == 0
-        if ok:
+        error = errors.get(i.range_id)
+        if error is None and not files.get(i.range_id):
+            error = f"no files below {i.input_path}"
+        if error is None and unreadable:
+            error = f"{unreadable} rows with cells that cannot be read"
+        if error is None:
             good.append(i)
         results.append(
-            (i.range_id, i.input_path, i.start_date, i.end_date, SUCCEEDED if ok else FAILED,
-             files.get(i.range_id, 0), bars, unreadable)
+            (i.range_id, i.input_path, i.start_date, i.end_date, FAILED if error else SUCCEEDED,
+             files.get(i.range_id, 0), bars, unreadable, error)
         )
     if good:
-        bars = rows.filter("in_range").join(_ids(spark, good), "range_id", "left_semi")
+        bars = reduce(DataFrame.unionByName, read).filter("in_range").join(_ids(spark, good), "range_id", "left_semi")
         if _share_days(good):
             bars = _last_range_per_day(bars)
         write_table(latest_per_key(bars), table, OVERWRITE_PARTITIONS)
     return spark.createDataFrame(results, RESULT)
 
 
+@dataclass(frozen=True)
+class _Read:
+    rows: DataFrame
+    files: dict
+    counts: dict
+
+
+def _read(spark, items, mode, one_header):
+    """The rows of some ranges, staged, with files, bars and unreadable rows per range."""
+    roots = _outermost(items)
+    pairs = stage(_files_by_range(spark, items, roots), "backfill-files")
+    per_range = pairs.groupBy("range_id").agg(F.count("*").alias("files"))
+    files = {r.range_id: r.files for r in per_range.collect()}
+    rows = stage(_rows_by_range(spark, roots, pairs, mode, one_header), "backfill-rows")
+    per_range = rows.groupBy("range_id").agg(
+        F.count_if(F.col("in_range")).alias("bars"),
+        F.count_if(F.col("unreadable")).alias("unreadable"),
+    )
+    return _Read(rows, files, {r.range_id: (r.bars, r.unreadable) for r in per_range.collect()})
+
+
+def _isolated(spark, items, mode, one_header):
+    """(what was read, None) for ranges read together, (range, error text) for those that fail alone."""
+    if not items:
+        return
+    try:
+        yield _read(spark, items, mode, one_header), None
+        return
+    except (PySparkException, Py4JJavaError, ValueError) as problem:
+        if len(items) == 1:
+            yield items[0], str(problem).strip().split("\n")[0]
+            return
+    half = len(items) // 2
+    yield from _isolated(spark, items[:half], mode, one_header)
+    yield from _isolated(spark, items[half:], mode, one_header)
+
+
 def _ids(spark, items):
-    return F.broadcast(spark.createDataFrame([(i.range_id,) for i in items], "range_id int"))
+    return spark.createDataFrame([(i.range_id,) for i in items], "range_id int")
 
 
 def _rows_by_range(spark, roots, pairs, mode, one_header):

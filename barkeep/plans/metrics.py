@@ -2,6 +2,8 @@
 
 from barkeep.functions.ranges import OUTPUT, output_range
 from barkeep.operators.extremes import range_extremes
+from barkeep.operators.merge import duplicate_keys
+from barkeep.schema import BAR_KEY, SPAN_DAYS
 from barkeep.sinks.tables import create_metrics_table
 from barkeep.sinks.upsert import upsert_table
 
@@ -13,6 +15,11 @@ def update_metrics(spark, bars_table, metrics_table, start, end, mode=OUTPUT, un
     """
     days = output_range(start, end, mode)
     create_metrics_table(spark, metrics_table)
-    metrics = range_extremes(spark.table(bars_table), days.start, days.end, unique_days)
-    upsert_table(metrics_table, metrics)
+    bars = spark.table(bars_table)
+    if not unique_days:
+        # One pre-aggregated count decides for the plan with a single shuffle by ticker.
+        padded = bars.filter(days.widen(SPAN_DAYS, SPAN_DAYS).contains("trade_date"))
+        unique_days = duplicate_keys(padded, list(BAR_KEY)).isEmpty()
+    metrics = range_extremes(bars, days.start, days.end, unique_days)
+    upsert_table(metrics_table, metrics, already_unique=unique_days)
     return days

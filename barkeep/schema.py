@@ -56,3 +56,6 @@ RAW_TYPED = _layout(RAW_COLUMNS)
 RAW_TEXT = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
 BARS = _layout(BAR_COLUMNS)
 METRICS = _layout(METRIC_COLUMNS)
+FILE_DAYS = T.StructType(
+    [T.StructField(c, _TYPES[c]) for c in BAR_KEY] + [T.StructField(FILE_DAY, T.DateType()), T.StructField("month", T.DateType())]
+)

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
-from barkeep.schema import BARS, METRICS
+from barkeep.schema import BARS, FILE_DAYS, METRICS
 
 APPEND = "append"
 OVERWRITE_PARTITIONS = "overwrite_partitions"
@@ -64,12 +64,12 @@ def write_table(df, table, disposition=OVERWRITE_PARTITIONS, cluster_by="trade_d
         rows.write.mode(mode).insertInto(table)
 
 
-def _create(spark, table, layout, location):
+def _create(spark, table, layout, location, partition="trade_date"):
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in layout)
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-        f"PARTITIONED BY (trade_date){where}"
+        f"PARTITIONED BY ({partition}){where}"
     )
 
 
@@ -83,6 +83,11 @@ def create_metrics_table(spark, table, location=None):
     _create(spark, table, METRICS, location)
 
 
+def create_file_days_table(spark, table, location=None):
+    """The file day of each bar that a stream has written; small rows, so by month."""
+    _create(spark, table, FILE_DAYS, location, "month")
+
+
 def set_table_properties(spark, table, properties):
     listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")

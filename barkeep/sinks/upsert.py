@@ -11,20 +11,22 @@ from barkeep.sinks.tables import OVERWRITE_PARTITIONS, write_table
 MAX_BROADCAST_DAYS = 100_000
 
 
-def upsert_table(table, source, keys=BAR_KEY, partition="trade_date"):
+def upsert_table(table, source, keys=BAR_KEY, partition="trade_date", already_unique=False):
     """Update the rows of ``table`` whose key is in ``source``, insert the others.
 
     ``source`` is staged first: it is evaluated once, and its keys and days can be
     checked before the table is touched. Only partitions that occur in ``source``
     are read and rewritten. ``partition`` is a date column and one of the keys, so
-    a key cannot move between partitions. Running the same upsert again changes
+    a key cannot move between partitions. ``already_unique`` vouches for keys that
+    do not repeat, as after a dedup, and saves the check. Running the same upsert again changes
     nothing.
     """
     if partition not in keys:
         raise ValueError(f"partition column {partition} must be one of the keys {keys}")
     spark = source.sparkSession
     staged = stage(source.select(*spark.table(table).columns), "upsert")
-    require_unique(staged, keys)
+    if not already_unique:
+        require_unique(staged, keys)
 
     touched = staged.select(partition).distinct()
     span = touched.agg(

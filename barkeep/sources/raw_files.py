@@ -4,8 +4,10 @@ A scan accepts the root, a directory below it or exact files. Every row carries
 ``file_day``, the day in the name of its file.
 """
 
+import datetime as dt
 import re
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,9 +16,6 @@ from pyspark.sql import types as T
 from barkeep.functions.columns import day_in_file_name
 from barkeep.schema import FILE_DAY, RAW_COLUMNS, RAW_TYPED
 
-# Bars of a file may carry the UTC day before or after the file's own day.
-SLACK_DAYS = 1
-
 
 class MissingColumnsError(ValueError):
     """A raw file's header lacks columns the load needs."""
@@ -40,13 +39,24 @@ def read_inferred(spark, path):
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
+class FileDays(NamedTuple):
+    """Days of file names, either bound optional."""
+
+    start: dt.date | None = None
+    end: dt.date | None = None
+
+
 def within_file_days(days, slack_days=0, undated=False):
     """Predicate on the file name. Spark applies it to the file listing, so files
     of other days are not opened. ``undated`` keeps files not named by a day."""
-    wanted = days.widen(slack_days, slack_days)
     name = F.col("_metadata.file_name")
-    after = wanted.widen(after=1).end
-    inside = (name >= F.lit(wanted.start.isoformat())) & (name < F.lit(after.isoformat()))
+    inside = F.lit(True)
+    if days.start is not None:
+        first = days.start - dt.timedelta(days=slack_days)
+        inside = inside & (name >= F.lit(first.isoformat()))
+    if days.end is not None:
+        after = days.end + dt.timedelta(days=slack_days + 1)
+        inside = inside & (name < F.lit(after.isoformat()))
     return inside | ~name.rlike(r"^\d{4}-\d{2}-\d{2}") if undated else inside
 
 
@@ -55,11 +65,12 @@ def _origin(with_path):
     return origin + [F.col("_metadata.file_path").alias("path")] if with_path else origin
 
 
-def scan_bars(spark, path, days=None, slack_days=SLACK_DAYS, with_path=False):
+def scan_bars(spark, path, days=None, slack_days=0, with_path=False):
     """Typed raw rows; unparsable cells are NULL.
 
     ``days`` limits the scan to the files of those days and ``slack_days`` around
-    them. Rows of other trade dates inside these files are kept.
+    them. Rows of other trade dates inside these files are kept, and bars of those
+    days that lie in other files are not seen.
     """
     # All eight columns are selected: the header check covers only columns read.
     rows = read_csv(spark, path, RAW_TYPED)
@@ -107,11 +118,10 @@ def list_files(spark, path, days=None, slack_days=0):
     )
 
 
-def _fail_for(spark, path):
-    missing = sorted(set(RAW_COLUMNS) - set(_text_reader(spark).csv(path).columns))
-    if len(missing) == len(RAW_COLUMNS):
-        raise MissingColumnsError(f"{path} has no CSV header row")
-    raise MissingColumnsError(f"{path} is missing expected columns: {', '.join(missing)}")
+def _fail_for(spark, path, header=None):
+    header = _text_reader(spark).csv(path).columns if header is None else header
+    lacking = [c for c in RAW_COLUMNS if c not in header]
+    raise MissingColumnsError(f"{path} starts with {header}; a header with {lacking} is needed")
 
 
 def scan_text(
@@ -129,7 +139,7 @@ def scan_text(
         first = listing.agg(F.min("path").alias("path")).first().path
         columns = _text_reader(spark).csv(first).columns if first else RAW_COLUMNS
         if set(RAW_COLUMNS) - set(columns):
-            _fail_for(spark, first)
+            _fail_for(spark, first, columns)
         return _text_rows(spark, path, columns, days, slack_days, with_path)
 
     # One entry per file, like the file listing the driver holds for any scan.
@@ -141,17 +151,22 @@ def scan_text(
     for f in found:
         files_by_header.setdefault(f.header, []).append(f.path)
     if len(files_by_header) < 2:
-        columns = _cells(found[0].header) if found else RAW_COLUMNS
+        columns = _cells(spark, found[0].header) if found else RAW_COLUMNS
         return _text_rows(spark, path, columns, days, slack_days, with_path)
     parts = [
-        _text_rows(spark, files, _cells(header), None, 0, with_path)
+        _text_rows(spark, files, _cells(spark, header), None, 0, with_path)
         for header, files in sorted(files_by_header.items())
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
-def _cells(header):
-    return [cell.strip('"') for cell in header.split(",")]
+def _cells(spark, header):
+    """Names in a header line, by the CSV reader itself: quoted names may hold commas."""
+    line = spark.createDataFrame([(header,)], "value string").select(
+        F.from_csv("value", F.lit(", ".join(f"c{i} string" for i in range(header.count(",") + 1))),
+                   {"escape": '"'}).alias("cells")
+    )
+    return [cell for cell in line.select("cells.*").first() if cell is not None]
 
 
 def _text_schema(columns):
@@ -173,9 +188,11 @@ def _on_file_system(spark, path):
 
 
 def path_exists(spark, path):
-    """Whether a file or directory exists, on whichever file system it names."""
+    """Whether a file or directory exists, on whichever file system it names; of a
+    pattern, whether anything matches."""
     target, file_system = _on_file_system(spark, path)
-    return bool(file_system.exists(target))
+    found = file_system.globStatus(target)
+    return found is not None and len(found) > 0
 
 
 def full_path(spark, path):

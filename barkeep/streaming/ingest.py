@@ -1,12 +1,19 @@
 """New raw files into the curated table, each file once."""
 
+from pyspark.sql import functions as F
+
 from barkeep.functions.columns import day_in_file_name
-from barkeep.plans.load import bars_from_raw
-from barkeep.schema import FILE_DAY, RAW_COLUMNS, RAW_TYPED
-from barkeep.sinks.tables import create_bars_table
+from barkeep.operators.dedup import latest_per_key
+from barkeep.operators.normalize import normalize_typed
+from barkeep.schema import BAR_KEY, FILE_DAY, RAW_COLUMNS, RAW_TYPED
+from barkeep.scratch import stage
+from barkeep.sinks.tables import create_bars_table, create_file_days_table
 from barkeep.sinks.upsert import upsert_table
 
 
+FILE_DAYS_SUFFIX = "__file_days"
+
+
 def stream_bars(spark, input_path, files_per_batch=None):
     """Streaming scan of the raw zone with the columns of the batch scan."""
     reader = (
@@ -14,6 +21,8 @@ def stream_bars(spark, input_path, files_per_batch=None):
         .option("header", True)
         .option("enforceSchema", False)
         .option("recursiveFileLookup", True)
+        # By default files a week older than the newest one seen are skipped without a word.
+        .option("maxFileAge", "36500d")
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -23,14 +32,34 @@ def stream_bars(spark, input_path, files_per_batch=None):
 def ingest_new_files(spark, input_path, table, checkpoint, files_per_batch=None):
     """Upsert the bars of all files not seen before, then stop.
 
+    As in a batch load the bar of the last file day wins, in whichever order files
+    arrive: a side table, ``<table>__file_days``, keeps the file day of each bar that a
+    stream has written. (Bars loaded otherwise have none and give way.)
+
     The checkpoint remembers the files done. A batch repeated after a failure
     upserts the same rows again, which changes nothing. A file replaced under its
     old name is not noticed: load restated days with ``plans.load.load_bars``.
     """
     create_bars_table(spark, table)
+    side = f"{table}{FILE_DAYS_SUFFIX}"
+    create_file_days_table(spark, side)
 
     def upsert_batch(rows, batch_id):
-        upsert_table(table, bars_from_raw(rows))
+        session = rows.sparkSession
+        newest = latest_per_key(normalize_typed(rows), keep_file_day=True)
+        # Files without a day in their name come before all others.
+        newest = newest.withColumn(FILE_DAY, F.coalesce(FILE_DAY, F.lit("0001-01-01").cast("date")))
+        newest = stage(newest.withColumn("month", F.trunc("trade_date", "month")), "stream-batch")
+        span = newest.agg(F.min("month").alias("first"), F.max("month").alias("last")).first()
+        known = session.table(side).filter(F.col("month").between(F.lit(span.first), F.lit(span.last)))
+        known = known.select(*BAR_KEY, F.col(FILE_DAY).alias("known_day"))
+        accepted = newest.join(known, list(BAR_KEY), "left").filter(
+            F.col("known_day").isNull() | (F.col("known_day") <= F.col(FILE_DAY))
+        )
+        accepted = stage(accepted, "stream-batch")
+        # Bars first: if the second write fails, the repeated batch does both again.
+        upsert_table(table, accepted, already_unique=True)
+        upsert_table(side, accepted, (*BAR_KEY, "month"), "month", already_unique=True)
 
     query = (
         stream_bars(spark, input_path, files_per_batch)
@@ -40,4 +69,7 @@ def ingest_new_files(spark, input_path, table, checkpoint, files_per_batch=None)
         .start()
     )
     query.awaitTermination()
+    # Batches write in a session of their own; this one may still know the files before.
+    for written in (table, side):
+        spark.catalog.refreshTable(written)
     return query

@@ -72,7 +72,7 @@ def test_ensure_target_twice_and_statements(spark, database):
     assert widen_statement("market", "daily") == (
         'ALTER TABLE "market"."daily" ALTER COLUMN "volume" SET DATA TYPE DOUBLE PRECISION'
     )
-    assert "DISTINCT" in upsert_statements("market", "daily", "stage")[1]
+    assert "DISTINCT" in upsert_statements("market", "daily", "stage", "clean")[0]
 
 
 def test_rows_staged_twice_by_a_rerun_task_count_once(spark, raw_zone, database):

@@ -52,7 +52,7 @@ WHERE trade_date BETWEEN {first} AND {last}
 """
 
 
-WHOLE = ("DATE '1995-01-01'", "DATE '2001-12-31'")
+WHOLE = ("(SELECT min(trade_date) FROM normalized)", "(SELECT max(trade_date) FROM normalized)")
 IMPACTED = (f"DATE '{FIRST}' - 364", f"DATE '{LAST}'")
 ALL_BARS = BARS + "SELECT * FROM bars"
 SOME_BARS = BARS + f"SELECT * FROM bars WHERE trade_date BETWEEN '{FIRST}' AND '{LAST}'"
@@ -107,8 +107,8 @@ WHERE EXISTS (SELECT 1 FROM bars y
 """,
     "metrics_upsert": BARS
     + f""", known AS (SELECT * FROM bars WHERE trade_date <= '{FIRST}'),
-target AS ({extremes("known", "DATE '1995-01-01'", f"DATE '{FIRST}'")}),
-source AS ({extremes("bars", f"DATE '{FIRST}' - 364", "DATE '2001-12-31'")})
+target AS ({extremes("known", WHOLE[0], f"DATE '{FIRST}'")}),
+source AS ({extremes("bars", f"DATE '{FIRST}' - 364", WHOLE[1])})
 SELECT * FROM source
 UNION ALL
 SELECT * FROM target t WHERE NOT EXISTS (
@@ -225,6 +225,53 @@ GROUP BY r.start_date, r.end_date
 SELECT CAST(to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type})
             AS VARCHAR) AS row
 FROM events ORDER BY event_id LIMIT 10
+""",
+    "profile_whole": """
+SELECT 'rows' AS item, CAST(count(*) AS VARCHAR) AS value FROM events
+UNION ALL SELECT 'columns', '3'
+UNION ALL
+SELECT 'row ' || (row_number() OVER (ORDER BY event_id) - 1),
+       CAST(to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type}) AS VARCHAR)
+FROM (SELECT * FROM events ORDER BY event_id LIMIT 10)
+""",
+    "bars_exact_file": BARS
+    + "SELECT * FROM bars WHERE trade_date = (SELECT max(trade_date) FROM normalized)",
+    "bars_late_rows": SOME_BARS,
+    "bars_restated": BARS
+    + f"""
+SELECT * REPLACE (volume * 2 AS volume) FROM bars
+WHERE trade_date BETWEEN '{FIRST}' AND '1997-04-30'
+""",
+    "staging_split_days": """
+SELECT DISTINCT CAST(ts AS DATE) AS trade_date, CAST(2 AS BIGINT) AS files,
+       strftime(ts, '%Y-%m-%d') || '-1.csv.gz,' || strftime(ts, '%Y-%m-%d') || '.csv.gz' AS names
+FROM events
+""",
+    "backfill_bad_range": BARS
+    + """
+, ranges AS (
+  SELECT unnest([DATE '1997-03-01', DATE '1997-04-01', DATE '1997-05-01']) AS start_date
+)
+SELECT start_date,
+       CASE WHEN start_date = DATE '1997-04-01' THEN 'FAILED' ELSE 'SUCCEEDED' END AS status,
+       start_date = DATE '1997-04-01' AS has_error,
+       CASE WHEN start_date = DATE '1997-04-01' THEN 0 ELSE (
+         SELECT count(*) FROM bars b WHERE date_trunc('month', b.trade_date) = r.start_date) END AS loaded
+FROM ranges r
+""",
+    "table_properties": BARS
+    + "SELECT 'barkeep.kind' AS key, 'bars' AS value, count(*) AS rows FROM bars",
+    "date_requests": BARS
+    + f"""
+, asked AS (
+  SELECT 'range' AS request, DATE '{FIRST}' AS start_date, DATE '{LAST}' AS end_date
+  UNION ALL SELECT 'day', DATE '1997-03-05', DATE '1997-03-05'
+  UNION ALL SELECT 'lookback', DATE '1998-02-24', DATE '1998-02-28'
+  UNION ALL SELECT 'loader', DATE '1998-02-26', DATE '1998-02-28'
+)
+SELECT request, start_date, end_date, count(b.ticker) AS bars
+FROM asked LEFT JOIN bars b ON b.trade_date BETWEEN start_date AND end_date
+GROUP BY request, start_date, end_date
 """,
     "profile_inferred": """
 SELECT event_type, count(*) AS rows, CAST(sum(user_id) AS BIGINT) AS users

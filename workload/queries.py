@@ -1,9 +1,19 @@
 """One query per operator, over the whole of the given tables."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from barkeep.functions.columns import raw_key
-from barkeep.functions.ranges import BOTH_SIDES, DAILY_IMPACTED, DayRange, bounded, output_range
+from barkeep.functions.columns import raw_key, utc_date
+from barkeep.functions.ranges import (
+    BOTH_SIDES,
+    DAILY_IMPACTED,
+    DayRange,
+    bounded,
+    loader_request,
+    output_range,
+    staging_request,
+)
 from barkeep.operators import counters, manifest, merge, profile
 from barkeep.operators.extremes import range_extremes
 from barkeep.operators.normalize import normalize_text, normalize_typed
@@ -15,7 +25,14 @@ from barkeep.plans.metrics import update_metrics
 from barkeep.schema import RAW_COLUMNS
 from barkeep.scratch import fresh_dir
 from barkeep.sinks.relational import read_relational
-from barkeep.sinks.tables import APPEND, create_metrics_table, widen_column, write_table
+from barkeep.sinks.tables import (
+    APPEND,
+    create_metrics_table,
+    set_table_properties,
+    unset_table_properties,
+    widen_column,
+    write_table,
+)
 from barkeep.sinks.upsert import upsert_table
 from barkeep.sources.raw_files import (
     list_files,
@@ -36,10 +53,9 @@ from workload.inputs import (
     raw_bars,
     raw_zone,
     table,
+    write_day_files,
 )
 
-# First and last day that can occur in lineitem.
-ALL_DAYS = ("1995-01-01", "2001-12-31")
 # The days loaded a second time, or asked for, in the queries about ranges.
 SOME_DAYS = ("1997-03-01", "1998-02-28")
 EVENT_DAYS = DayRange.of("2023-12-25", "2024-02-05")
@@ -50,13 +66,20 @@ FILES_PER_BATCH = 1000
 URL_SETTING = "spark.barkeep.jdbc.url"
 
 
+def all_days(spark, sf_dir):
+    """First and last day of the bars."""
+    day = F.col("l_shipdate").cast("date")
+    span = table(spark, sf_dir, "lineitem").agg(F.min(day).alias("a"), F.max(day).alias("b"))
+    return tuple(span.first())
+
+
 def metrics_52w(spark, sf_dir):
-    return range_extremes(bars(spark, sf_dir), *ALL_DAYS, unique_days=True)
+    return range_extremes(bars(spark, sf_dir), *all_days(spark, sf_dir), unique_days=True)
 
 
 def metrics_52w_repeated_days(spark, sf_dir):
     repeated = normalize_typed(raw_bars(spark, sf_dir))
-    return range_extremes(repeated, *ALL_DAYS)
+    return range_extremes(repeated, *all_days(spark, sf_dir))
 
 
 def metrics_52w_daily_impacted(spark, sf_dir):
@@ -162,8 +185,9 @@ def metrics_upsert(spark, sf_dir):
     name, location = fresh_table(spark, "metrics")
     create_metrics_table(spark, name, location)
     today = SOME_DAYS[0]
-    write_table(range_extremes(bounded(rows, end=today), ALL_DAYS[0], today, unique_days=True), name)
-    days = output_range(today, ALL_DAYS[1], DAILY_IMPACTED)
+    first, last = all_days(spark, sf_dir)
+    write_table(range_extremes(bounded(rows, end=today), first, today, unique_days=True), name)
+    days = output_range(today, last, DAILY_IMPACTED)
     upsert_table(name, range_extremes(rows, days.start, days.end, unique_days=True))
     return read_table(spark, name)
 
@@ -301,7 +325,7 @@ def metrics_table(spark, sf_dir):
     bars_name = bars_table(spark, "bars", bars(spark, sf_dir))
     name, location = fresh_table(spark, "metrics-table")
     create_metrics_table(spark, name, location)
-    update_metrics(spark, bars_name, name, *ALL_DAYS, unique_days=True)
+    update_metrics(spark, bars_name, name, *all_days(spark, sf_dir))
     return read_table(spark, name)
 
 
@@ -323,6 +347,108 @@ def profile_inferred(spark, sf_dir):
     )
 
 
+def profile_whole(spark, sf_dir):
+    """The profile itself: schema tree, sample and row count of one dataset, as rows."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    found = profile.profile(events, 10, ["event_id"])
+    shown = [("rows", str(found.rows)), ("columns", str(found.schema.count(" |-- ")))]
+    shown += [(f"row {i}", row) for i, row in enumerate(found.sample)]
+    return spark.createDataFrame(shown, "item string, value string")
+
+
+def bars_exact_file(spark, sf_dir):
+    """One raw file by its own path, whatever its day: the file of the last day."""
+    last = all_days(spark, sf_dir)[1]
+    root = raw_zone(spark, sf_dir)
+    files = list_files(spark, root, DayRange(last, last)).orderBy("path")
+    return bars_from_text(scan_text(spark, files.first().path))
+
+
+def bars_late_rows(spark, sf_dir):
+    """Bars of some days lie in files of a day months later; a load by date still finds them."""
+    rows = raw_bars(spark, sf_dir)
+    moved = F.add_months(utc_date("window_start"), 6)
+    root = write_day_files(rows, moved, fresh_dir(spark, "late"))
+    name = bars_table(spark, "late")
+    load_bars(spark, root, name, *SOME_DAYS)
+    return read_table(spark, name)
+
+
+def bars_restated(spark, sf_dir):
+    """Days loaded, their files replaced by restated ones, and loaded again by date."""
+    days = DayRange.of(SOME_DAYS[0], "1997-04-30")
+    rows = raw_bars(spark, sf_dir).withColumn("_day", utc_date("window_start"))
+    rows = rows.filter(days.contains("_day"))
+    name = bars_table(spark, "restated")
+    for factor, label in ((1, "first"), (2, "restated")):
+        changed = rows.withColumn("volume", F.col("volume") * factor).drop("_day")
+        root = write_day_files(changed, utc_date("window_start"), fresh_dir(spark, label))
+        load_bars(spark, root, name, days.start, days.end)
+    return read_table(spark, name)
+
+
+def staging_split_days(spark, sf_dir):
+    """All files of a day are named, where a day is split over two files."""
+    root = event_zone(spark, sf_dir)
+    files = list_files(spark, root, EVENT_DAYS)
+    second = files.withColumn("path", F.regexp_replace("path", "[.]csv[.]gz$", "-1.csv.gz"))
+    days = manifest.staging_manifest(files.union(second), EVENT_DAYS)
+    shown = days.filter(F.col("status") == manifest.AVAILABLE)
+    return shown.select(
+        "trade_date",
+        "files",
+        F.array_join(F.transform("paths", lambda p: F.element_at(F.split(p, "/"), -1)), ",").alias("names"),
+    )
+
+
+def backfill_bad_range(spark, sf_dir):
+    """A range whose files lack a column fails alone; the ranges beside it are loaded."""
+    rows = raw_bars(spark, sf_dir).withColumn("_day", utc_date("window_start"))
+    root = fresh_dir(spark, "ranges")
+    periods = [("1997-03-01", "1997-03-31"), ("1997-04-01", "1997-04-30"), ("1997-05-01", "1997-05-31")]
+    listed = []
+    for i, (start, end) in enumerate(periods):
+        part = rows.filter(F.col("_day").between(F.lit(start), F.lit(end)))
+        write_day_files(part.drop("_day", *(["high"] if i == 1 else [])), utc_date("window_start"), f"{root}/{i}")
+        listed.append((i, f"{root}/{i}", dt.date.fromisoformat(start), dt.date.fromisoformat(end)))
+    ranges = spark.createDataFrame(listed, "range_id int, input_path string, start_date date, end_date date")
+    name = bars_table(spark, "bad-range")
+    done = backfill(spark, ranges, name)
+    per_month = read_table(spark, name).groupBy(F.trunc("trade_date", "month").alias("start_date"))
+    loaded = per_month.agg(F.count("*").alias("loaded"))
+    return done.join(loaded, "start_date", "left").select(
+        "start_date",
+        "status",
+        F.col("error").isNotNull().alias("has_error"),
+        F.coalesce("loaded", F.lit(0)).cast("long").alias("loaded"),
+    )
+
+
+def table_properties(spark, sf_dir):
+    """Properties set, one unset again, and read back from a table of all bars."""
+    name = bars_table(spark, "properties", bars(spark, sf_dir))
+    set_table_properties(spark, name, {"barkeep.kind": "bars", "barkeep.note": "draft"})
+    unset_table_properties(spark, name, ["barkeep.note", "barkeep.absent"])
+    rows = read_table(spark, name).agg(F.count("*").alias("rows"))
+    shown = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key").startswith("barkeep."))
+    return shown.crossJoin(rows)
+
+
+def date_requests(spark, sf_dir):
+    """Bars of the days that date requests come to, asked at a fixed time."""
+    now = dt.datetime(1998, 3, 2, 3, tzinfo=dt.timezone.utc)
+    requests = {
+        "range": staging_request(*SOME_DAYS, now=now),
+        "day": staging_request(trade_date="1997-03-05", now=now),
+        "lookback": staging_request(now=now),
+        "loader": loader_request(days_ago=1, lookback_days=3, now=now),
+    }
+    listed = [(name, days.start, days.end) for name, days in requests.items()]
+    asked = spark.createDataFrame(listed, "request string, start_date date, end_date date")
+    counted = count_by_range(bars(spark, sf_dir), asked.withColumn("range_id", F.monotonically_increasing_id()))
+    return asked.join(counted.select("start_date", "end_date", "bars"), ["start_date", "end_date"])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -363,5 +489,13 @@ QUERIES = {
         profile_count,
         profile_sample,
         profile_inferred,
+        profile_whole,
+        bars_exact_file,
+        bars_late_rows,
+        bars_restated,
+        staging_split_days,
+        backfill_bad_range,
+        table_properties,
+        date_requests,
     )
 }
