@@ -183,9 +183,9 @@ def _without(raw, mask):
     runs = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))
     out, at = [], 0
     for first, stop in zip(runs[::2], runs[1::2]):
-        out.append(raw[at : starts[first]].rstrip(b" "))
+        out.append(raw[at : starts[first]].strip(b" ") if at else raw[: starts[first]].rstrip(b" "))
         at = int(ends[stop - 1])
-    out.append(raw[at:])
+    out.append(raw[at:].lstrip(b" "))
     return b" ".join(out)
 
 

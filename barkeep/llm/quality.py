@@ -107,11 +107,11 @@ def features(raw, found, width=WIDTH):
 def posteriors(counts, steps=100):
     """Chance of junk per vote pattern, by expectation-maximisation over their counts."""
     patterns = sorted(counts)
+    if not patterns:
+        return {}
     table = np.array([[int(c) for c in p] for p in patterns])
     n = np.array([counts[p] for p in patterns], float)
     junk = np.where((table == JUNK).any(axis=1), 0.9, 0.02)
-    if not len(table):
-        return {}
     voted, said = table != NONE, table == JUNK
     # What is believed of a labeller beforehand, as (junk votes, votes): on clean texts it hardly ever
     # cries junk, and that belief outweighs the data, as labellers that each know a kind of junk of their
