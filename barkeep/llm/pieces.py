@@ -40,7 +40,7 @@ DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 class PieceCodec:
     """Encodes and decodes with one vocabulary; build one per worker with ``codec``."""
 
-    def __init__(self, path, most=500_000):
+    def __init__(self, path, most=200_000):
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         lib, n = self.library, self.library.get_piece_size()
         self.score, self.id, self.byte_id, self.text = {}, {}, {}, {}
@@ -221,6 +221,10 @@ class PieceCodec:
         known = self.known.__getitem__
         return [",".join(map(known, part)) for part in parts]
 
+    def forget(self):
+        """Give back what was remembered: workers outlive their tasks, and other operators need the room."""
+        self.known = {"": ""}
+
     def decode(self, ids):
         """Text of a list of ids; bytes that are no UTF-8 become replacement characters."""
         raw = b"".join(
@@ -278,6 +282,7 @@ def piece_digests(docs, vocabulary="piece_bpe_32k.model", id_col="doc_id", text_
                     [_sha(ids) for ids in coded],
                     [_sha(text) for text in decoded],
                 )
+        known.forget()
 
     return pick(docs, id_col, text_col).mapInArrow(run, DIGEST)
 
@@ -296,5 +301,6 @@ def encoded_pieces(docs, vocabulary="piece_bpe_32k.model", id_col="doc_id", text
                 coded = known.encode(texts)
                 ids = [np.fromstring(c, np.int32, sep=",") for c in coded]
                 yield to_batch(schema, rows.column("doc_id"), ids, list(known.texts(coded)))
+        known.forget()
 
     return pick(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
