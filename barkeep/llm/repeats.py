@@ -104,7 +104,8 @@ def places(hashes, width):
 
 def _file_strings(batches, least, sample):
     for batch in batches:
-        for rows, raws in slices(batch, "text"):
+        # The hashes of a piece take a hundred times its size for a moment.
+        for rows, raws in slices(batch, "text", 400_000):
             keys, out = rows.column("th").to_pylist(), ([], [], [], [], [])
             whole = window_hashes(b"".join(raws) + bytes(sample), sample)
             start = 0

@@ -28,7 +28,7 @@ WORDS, DISTANCE, SEED = 4, 4, 42
 # (bits, radius) of the segments, lowest first.
 SEGMENTS = ((22, 1), (21, 1), (21, 0))
 ENTRY = 50_000
-PAIRS = 4_000_000
+PAIRS = 500_000
 
 # Near copies by edited words keep most of their distinct words: those make the fingerprints that
 # decide which documents stay, with several seeds, so that an unlucky one does not lose a pair.
