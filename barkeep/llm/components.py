@@ -2,11 +2,13 @@
 
 Each round every node moves to its neighbour with the smallest hash (or stays), twice over,
 and links are renamed; nodes thin out by a constant factor, as hashes leave no long
-descending chains. All of it is joins and pre-aggregated minima on staged tables, so neither
-a hub with most of the nodes nor a lost executor matters; nothing comes to the driver but
-whether links are left.
+descending chains. All of it is joins and pre-aggregated minima, so a hub with most of the nodes
+does no harm; nothing comes to the driver but whether links are left. Rounds are few and are
+cached with their lineage, back to the staged links: what a lost executor held is computed
+again. Only the links and the result are written.
 """
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from barkeep.scratch import stage
@@ -17,33 +19,34 @@ def components(links, left="a", right="b"):
     links = stage(
         links.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a <> b").distinct(), "links"
     )
-    moves = []
+    held, moves = [], []
+
+    def hold(df):
+        held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return held[-1]
+
     while not links.isEmpty():
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         order = lambda c: F.struct(F.xxhash64(c).alias("hash"), F.col(c).alias("id"))
         near = both.groupBy("a").agg(F.min(order("b")).alias("near"))
-        step = stage(
-            near.select(
-                F.col("a").alias("node"), F.least(order("a"), F.col("near"))["id"].alias("next")
-            ),
-            "moves",
+        step = hold(
+            near.select(F.col("a").alias("node"), F.least(order("a"), F.col("near"))["id"].alias("next"))
         )
         onward = step.select(F.col("node").alias("next"), F.col("next").alias("root"))
-        move = stage(step.join(onward, "next").select("node", "root"), "moves")
+        move = hold(step.join(onward, "next").select("node", "root"))
         moves.append(move)
         for end in ("a", "b"):
             links = (
-                links.join(move, links[end] == move["node"])
-                .withColumn(end, F.col("root"))
-                .select("a", "b")
+                links.join(move, links[end] == move["node"]).withColumn(end, F.col("root")).select("a", "b")
             )
-        links = stage(links.where("a <> b").distinct(), "links")
+        links = hold(links.where("a <> b").distinct())
     if not moves:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     found = moves[0]
     for move in moves[1:]:
         onward = move.select(F.col("node").alias("root"), F.col("root").alias("onward"))
-        found = found.join(onward, "root", "left").select(
-            "node", F.coalesce("onward", "root").alias("root")
-        )
-    return stage(found, "roots") if len(moves) > 1 else found
+        found = found.join(onward, "root", "left").select("node", F.coalesce("onward", "root").alias("root"))
+    found = stage(found, "roots")
+    for df in held:
+        df.unpersist()
+    return found
