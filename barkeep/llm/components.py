@@ -3,9 +3,8 @@
 Each round every node moves to its neighbour with the smallest hash (or stays), twice over,
 and links are renamed; nodes thin out by a constant factor, as hashes leave no long
 descending chains. All of it is joins and pre-aggregated minima, so a hub with most of the nodes
-does no harm; nothing comes to the driver but whether links are left. Rounds are few and are
-cached with their lineage, back to the staged links: what a lost executor held is computed
-again. Only the links and the result are written.
+does no harm; nothing comes to the driver but whether links are left. A round's links are staged
+and its moves cached: what a lost executor held of them is computed again from the links.
 """
 
 from pyspark import StorageLevel
@@ -39,7 +38,7 @@ def components(links, left="a", right="b"):
             links = (
                 links.join(move, links[end] == move["node"]).withColumn(end, F.col("root")).select("a", "b")
             )
-        links = hold(links.where("a <> b").distinct())
+        links = stage(links.where("a <> b").distinct(), "links")
     if not moves:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     found = moves[0]
