@@ -4,6 +4,7 @@ Replacing partitions moves them into place one by one: a reader running at the
 same time may see some old and some new days.
 """
 
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import functions as F
@@ -98,29 +99,68 @@ def unset_table_properties(spark, table, names):
     spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ({listed})")
 
 
+def _described(spark, table, item):
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == item)
+    found = rows.first()
+    return found.data_type if found else None
+
+
+def _resume(spark, table, widened, before):
+    """Bring a widening that broke off to its end, or back to its start; whether it ended."""
+    exists = spark.catalog.tableExists
+    if not exists(table) and exists(before):
+        ended = exists(widened)
+        spark.sql(f"ALTER TABLE {widened if ended else before} RENAME TO {table}")
+        spark.sql(f"DROP TABLE IF EXISTS {before}")
+        return ended
+    spark.sql(f"DROP TABLE IF EXISTS {before}")
+    spark.sql(f"DROP TABLE IF EXISTS {widened}")
+    return False
+
+
 def widen_column(spark, table, column, data_type, location=None):
     """Change a column's type where it differs; returns whether it did.
 
-    Parquet tables cannot alter a type in place. The rows are written to a new
-    table (at ``location``, if given), which then takes the name; the old table is
-    kept under ``<table>__before`` until the swap is done.
+    Parquet tables cannot alter a type in place. The rows are written to a new table, which
+    then takes the name, the comments and the properties; the old table is kept under
+    ``<table>__before`` until the swap is done, and the next call ends a swap that broke off.
+    An external table stays external: without ``location`` it moves to a folder beside its
+    old one, whose files remain.
     """
+    widened, before = f"{table}__widened", f"{table}__before"
+    if _resume(spark, table, widened, before):
+        return True
     rows = spark.table(table)
     if rows.schema[column].dataType.simpleString() == data_type:
         return False
+    if location is None and _described(spark, table, "Type") == "EXTERNAL":
+        location = f"{_described(spark, table, 'Location').rstrip('/')}-{uuid.uuid4().hex[:8]}"
     described = spark.catalog.listColumns(table)
     partitioned = [c.name for c in described if c.isPartition]
+    comments = {c.name: c.description for c in described if c.description}
     columns = ", ".join(
         f"{f.name} {data_type if f.name == column else f.dataType.simpleString()}"
+        + (f" COMMENT {_literal(comments[f.name])}" if f.name in comments else "")
         for f in rows.schema
     )
     by = f" PARTITIONED BY ({', '.join(partitioned)})" if partitioned else ""
-    where = f" LOCATION '{location}'" if location else ""
-    widened, before = f"{table}__widened", f"{table}__before"
+    where = f" LOCATION {_literal(location)}" if location else ""
     spark.sql(f"CREATE TABLE {widened} ({columns}) USING parquet{by}{where}")
+    kept = {
+        r.key: r.value
+        for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+        if not r.key.startswith(("spark.sql.", "transient_"))
+    }
+    if kept:
+        set_table_properties(spark, widened, kept)
     converted = rows.withColumn(column, F.col(column).cast(data_type))
     write_table(converted, widened, APPEND, partitioned[0] if partitioned else None)
     spark.sql(f"ALTER TABLE {table} RENAME TO {before}")
     spark.sql(f"ALTER TABLE {widened} RENAME TO {table}")
     spark.sql(f"DROP TABLE {before}")
     return True
+
+
+def _literal(text):
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

@@ -68,8 +68,12 @@ def test_manifest(spark, raw_zone):
 def test_counters(spark, raw_zone):
     raw_zone("2024-01-02", [line("a", "2024-01-02"), line("A", "2024-01-02"), line("", "2024-01-02")])
     raw_zone("2024-01-03", [line("A", "2024-01-03")])
-    raw = scan_text(spark, raw_zone.root)
-    assert tuple(load_counters(raw, bars_from_text(raw)).first()) == (2, 4, 2)
+    raw_zone("2024-01-04", [])
+    raw = scan_text(spark, raw_zone.root, with_path=True)
+    files = list_files(spark, raw_zone.root)
+    counted = load_counters(files, raw, bars_from_text(raw.drop("path"))).first()
+    # A file with nothing but its header is a file.
+    assert tuple(counted) == (3, 3, 4, 2)
 
 
 def test_ranges_may_overlap_and_be_empty(spark):

@@ -150,3 +150,36 @@ def test_relational_types_follow_the_database():
     statement = create_statement("s", "t", types)
     assert '"ticker" TEXT' in statement and "WITH TIME ZONE" in statement
     assert column_types("jdbc:derby:x", {"ticker": "CLOB"})["ticker"] == "CLOB"
+
+
+def test_widening_keeps_place_kind_and_properties(spark, table_name, tmp_path):
+    from barkeep.sinks.tables import set_table_properties, widen_column
+
+    spark.sql(f"CREATE TABLE {table_name} (a string, volume bigint COMMENT 'it''s') USING parquet LOCATION '{tmp_path}/t'")
+    spark.sql(f"INSERT INTO {table_name} VALUES ('x', 1)")
+    set_table_properties(spark, table_name, {"owner.team": "bars"})
+    assert widen_column(spark, table_name, "volume", "double")
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table_name}").collect()}
+    assert described["Type"] == "EXTERNAL" and f"{tmp_path}/t-" in described["Location"]
+    assert "owner.team=bars" in described["Table Properties"]
+    assert [tuple(r) for r in spark.table(table_name).collect()] == [("x", 1.0)]
+    # A swap that broke off between its renames is brought to its end.
+    spark.sql(f"CREATE TABLE {table_name}__widened AS SELECT 'y' AS a, 2.0D AS volume")
+    spark.sql(f"ALTER TABLE {table_name} RENAME TO {table_name}__before")
+    assert widen_column(spark, table_name, "volume", "double")
+    assert [tuple(r) for r in spark.table(table_name).collect()] == [("y", 2.0)]
+    assert not spark.catalog.tableExists(f"{table_name}__before")
+    # Leftovers of one that broke off earlier are cleared away.
+    spark.sql(f"CREATE TABLE {table_name}__widened (a string) USING parquet")
+    assert not widen_column(spark, table_name, "volume", "double")
+    assert not spark.catalog.tableExists(f"{table_name}__widened")
+
+
+def test_text_with_one_differing_header_is_still_read(spark, raw_zone):
+    from barkeep.plans.load import staged_text
+
+    raw_zone("2024-01-02", [line("A", "2024-01-02")])
+    cells = line("B", "2024-01-03").split(",")[::-1]
+    raw_zone("2024-01-03", [",".join(cells)], header=",".join(HEADER.split(",")[::-1]))
+    rows = {r.ticker: r.volume for r in staged_text(spark, raw_zone.root).collect()}
+    assert rows == {"A": "100", "B": "100"}

@@ -150,10 +150,15 @@ SELECT * FROM bars WHERE trade_date BETWEEN '{FIRST}' AND '{LAST}'
     + "SELECT * REPLACE (CAST(trunc(volume) AS DOUBLE) AS volume) FROM bars",
     "bars_upsert_jdbc": ALL_BARS,
     "bars_load_counters": BARS
-    + "SELECT trade_date AS file_day, count(*) AS rows_staged FROM normalized GROUP BY trade_date",
+    + """
+SELECT trade_date AS file_day, strftime(trade_date, '%Y-%m-%d') || '.csv.gz' AS path,
+       count(*) AS rows_staged
+FROM normalized GROUP BY trade_date
+""",
     "bars_load_totals": BARS
     + """
-SELECT (SELECT count(DISTINCT trade_date) FROM normalized) AS file_days,
+SELECT (SELECT count(DISTINCT trade_date) FROM normalized) AS files,
+       (SELECT count(DISTINCT trade_date) FROM normalized) AS file_days,
        (SELECT count(*) FROM normalized) AS rows_staged,
        (SELECT count(*) FROM bars) AS rows_upserted
 """,

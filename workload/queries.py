@@ -20,7 +20,13 @@ from barkeep.operators.normalize import normalize_text, normalize_typed
 from barkeep.operators.ranges import count_by_range
 from barkeep.plans.backfill import backfill
 from barkeep.plans.daily import daily_update
-from barkeep.plans.load import bars_from_raw, bars_from_text, load_bars, load_relational
+from barkeep.plans.load import (
+    bars_from_raw,
+    bars_from_text,
+    load_bars,
+    load_relational,
+    staged_text,
+)
 from barkeep.plans.metrics import update_metrics
 from barkeep.schema import RAW_COLUMNS
 from barkeep.scratch import fresh_dir
@@ -293,13 +299,15 @@ def backfill_table(spark, sf_dir):
 
 
 def bars_load_counters(spark, sf_dir):
-    raw = scan_text(spark, raw_zone(spark, sf_dir), one_header=True)
-    return counters.rows_per_file_day(raw)
+    root = raw_zone(spark, sf_dir)
+    counted = counters.rows_per_file(list_files(spark, root), staged_text(spark, root))
+    return counted.withColumn("path", F.element_at(F.split("path", "/"), -1))
 
 
 def bars_load_totals(spark, sf_dir):
-    raw = scan_text(spark, raw_zone(spark, sf_dir), one_header=True)
-    return counters.load_counters(raw, bars_from_text(raw))
+    root = raw_zone(spark, sf_dir)
+    raw = staged_text(spark, root)
+    return counters.load_counters(list_files(spark, root), raw, bars_from_text(raw.drop("path")))
 
 
 def bars_incremental_stream(spark, sf_dir):
