@@ -182,7 +182,7 @@ def test_scan_opens_only_the_files_of_the_days(spark, raw_zone):
     day = DayRange.of("2024-01-02")
     assert scan_bars(spark, raw_zone.root, day, slack_days=0).count() == 1
     assert scan_bars(spark, raw_zone.root, day, slack_days=1).count() == 3
-    scan = scan_bars(spark, raw_zone.root, day)
+    scan = scan_bars(spark, raw_zone.root, day, slack_days=1)
     scan.collect()
     metrics = scan._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics()
     assert metrics.apply("numFiles").value() == 3
