@@ -15,16 +15,20 @@ corpus. Three ideas keep Spark's sorts small:
 Equality is that of 64-bit hashes within equal 64-bit samples. Texts are keyed by their MD5, so
 neither null nor repeated ids matter: rows of equal text get equal spans, and rows that share a
 text of ``least`` bytes or more are repeated throughout. Null texts count as empty.
+
+The same ranks work on words instead of bytes: each word then stands as the eight bytes of its
+hash, and lengths and places count words.
 """
 
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from barkeep.llm.batches import slices, to_batch
+from barkeep.llm.batches import Memo, slices, to_batch
 from barkeep.scratch import stage
 
 LEAST = 400
@@ -54,6 +58,16 @@ _BYTES = np.random.default_rng(400).integers(1, 1 << 63, 256, dtype=np.int64).as
 _PLACE = np.uint64((1 << 31) - 1)
 _powers = {}
 
+# Words stand between blanks; characters of scripts without blanks (kana, Han) are words each.
+_WORD = re.compile(rb"[^\s\xe3-\xe9]+|[\xe3-\xe9][\x80-\xbf]*")
+_CODE = 8
+_codes = Memo(lambda word: xxhash.xxh64_digest(word))
+
+
+def word_codes(raw):
+    """The words of a text, ``_CODE`` bytes each."""
+    return b"".join(map(_codes.__getitem__, _WORD.findall(raw)))
+
 
 def _power(base, n):
     have = _powers.get(base)
@@ -66,9 +80,9 @@ def _power(base, n):
     return have[:n]
 
 
-def window_hashes(raw, width):
-    """Hash of each ``width`` bytes of a text, by one pass of prefix sums."""
-    values = _BYTES[np.frombuffer(raw, np.uint8)]
+def window_hashes(raw, width, words=False):
+    """Hash of each ``width`` bytes (or word codes) of a text, by one pass of prefix sums."""
+    values = np.frombuffer(raw, np.uint64) if words else _BYTES[np.frombuffer(raw, np.uint8)]
     n = len(values)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _power(_STEP, n), dtype=np.uint64)])
     found = (sums[width:] - sums[:-width]) * _power(_BACK, n - width + 1)
@@ -102,20 +116,23 @@ def places(hashes, width):
     return at[starts], starts, ends
 
 
-def _file_strings(batches, least, sample):
+def _file_strings(batches, least, sample, words):
+    unit = _CODE if words else 1
     for batch in batches:
         # The hashes of a piece take a hundred times its size for a moment.
         for rows, raws in slices(batch, "text", 400_000):
             keys, out = rows.column("th").to_pylist(), ([], [], [], [], [])
-            whole = window_hashes(b"".join(raws) + bytes(sample), sample)
+            raws = [word_codes(raw) for raw in raws] if words else raws
+            whole = window_hashes(b"".join(raws) + bytes(sample * unit), sample, words)
             start = 0
             for key, raw in zip(keys, raws):
-                if len(raw) >= least:
-                    hashes = whole[start : start + len(raw) - sample + 1]
+                size = len(raw) // unit
+                if size >= least:
+                    hashes = whole[start : start + size - sample + 1]
                     at, low, high = places(hashes, least - sample + 1)
                     for column, part in zip(out, ([key] * len(at), hashes[at].view(np.int64), at, low, high)):
                         column.append(part)
-                start += len(raw)
+                start += size
             if out[0]:
                 yield to_batch(
                     _PLACES,
@@ -124,13 +141,15 @@ def _file_strings(batches, least, sample):
                 )
 
 
-def _blocks_of(batches, least, block):
+def _blocks_of(batches, least, block, words):
     """Rows for the blocks of starts filed under repeated samples."""
+    size = _CODE if words else 1
     core, digest = least - block + 1, lambda raw: xxhash.xxh3_64_intdigest(raw) - (1 << 63)
     for batch in batches:
         for rows, raws in slices(batch, "text"):
             out = [[] for _ in _BLOCKS]
             for key, raw, spots in zip(rows.column("th").to_pylist(), raws, rows.column("spots").to_pylist()):
+                raw = word_codes(raw) if words else raw
                 for spot in spots:
                     at, sample = spot["at"], spot["sample"]
                     nearest, farthest = at - spot["high"], at - spot["low"]
@@ -139,10 +158,11 @@ def _blocks_of(batches, least, block):
                         begin = at - number * block
                         end = begin - block + 1 + least
                         unit = digest(b"%b,%d,%d" % (key, at, number))
-                        half = digest(raw[begin : begin + core // 2])
-                        rest = digest(raw[begin + core // 2 : end])
+                        cut = lambda a, b: raw[a * size : b * size]  # noqa: B023, E731
+                        half = digest(cut(begin, begin + core // 2))
+                        rest = digest(cut(begin + core // 2, end))
                         row = (key, unit, sample, number, half, rest,
-                               raw[at - far : begin], raw[end : at - near + least], at, at - far, at - near)
+                               cut(at - far, begin), cut(end, at - near + least), at, at - far, at - near)
                         for column, value in zip(out, row):
                             column.append(value)
             yield to_batch(_BLOCKS, *out)
@@ -167,16 +187,18 @@ def _rerank(rows, *pair):
     return rows.join(shared, on).select(*keep, F.col("new").alias("rank"), F.col("_mixed").alias("mixed"))
 
 
-def repeated_spans(texts, least=LEAST):
+def repeated_spans(texts, least=LEAST, words=False):
     """(th, spans): per text hash, its repeated stretches as (begin, end) pairs that may overlap.
 
-    ``texts`` has ``th`` and ``text``; texts without a repeated stretch are left out.
+    ``texts`` has ``th`` and ``text``; texts without a repeated stretch are left out. With
+    ``words``, ``least`` and the pairs count words.
     """
+    size = _CODE if words else 1
     sample, block = max(1, least // 4), max(1, min(BLOCK, least // 8))
     core = least - block + 1
     filed = stage(
         texts.mapInArrow(
-            lambda batches: _file_strings(batches, least, sample),
+            lambda batches: _file_strings(batches, least, sample, words),
             "th binary, sample long, at int, low int, high int",
         ),
         "filed",
@@ -198,7 +220,7 @@ def repeated_spans(texts, least=LEAST):
         texts.join(spots.hint("shuffle_hash"), F.col("th") == F.col("_th"))
         .select("th", "text", "spots")
         .mapInArrow(
-            lambda batches: _blocks_of(batches, least, block),
+            lambda batches: _blocks_of(batches, least, block, words),
             "th binary, u long, sample long, block int, half long, rest long, "
             "left binary, right binary, at int, low int, high int",
         ),
@@ -230,8 +252,10 @@ def repeated_spans(texts, least=LEAST):
         F.explode(F.sequence("low", "high")).alias("start"),
     )
     # left holds the bytes from the block's first start to its core, right those up to its last string's end.
-    begin = F.expr("substring(left, start - (high + {0} - length(right) - {1} - length(left)) + 1)".format(least, core))
-    tail = F.expr("substring(right, 1, length(right) - (high - start))")
+    begin = F.expr(
+        "substring(left, (start - high - {0}) * {1} + length(right) + length(left) + 1)".format(least - core, size)
+    )
+    tail = F.expr("substring(right, 1, length(right) - (high - start) * {0})".format(size))
     starts = starts.select("th", "u", "rank", "open", "start", F.xxhash64(begin, tail).alias("outer"),
                            F.length(begin).alias("before"))
     alone = (
@@ -285,11 +309,11 @@ def text_hash(column):
     return F.unhex(F.md5(F.encode(F.coalesce(column, F.lit("")), "UTF-8")))
 
 
-def _with_spans(docs, text_col, least):
+def _with_spans(docs, text_col, least, words=False):
     """``docs`` with a column ``_spans``; only texts and hashes are shuffled with other columns."""
     docs = docs.withColumn("_th", text_hash(F.col(f"`{text_col}`").cast("string")))
     texts = docs.select(F.col("_th").alias("th"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    spans = repeated_spans(texts, least).select(F.col("th").alias("_key"), F.col("spans").alias("_spans"))
+    spans = repeated_spans(texts, least, words).select(F.col("th").alias("_key"), F.col("spans").alias("_spans"))
     return docs.join(spans.hint("shuffle_hash"), F.col("_th") == F.col("_key"), "left").drop("_th", "_key")
 
 
@@ -326,10 +350,11 @@ def repeat_digests(docs, least=LEAST, id_col="doc_id", text_col="text"):
     )
 
 
-def remove_repeats(docs, least=LEAST, text_col="text"):
+def remove_repeats(docs, least=LEAST, text_col="text", words=False):
     """``docs`` without the repeated stretches of their texts; every other column as it was.
 
-    A character that is repeated in part stays, so texts stay valid; null texts stay null.
+    ``least`` counts bytes, or words if ``words``; words are whole and equal byte by byte, the
+    blanks between them may differ. A character that is repeated in part stays, so texts stay valid; null texts stay null.
     """
     columns = docs.columns
     at = columns.index(text_col)
@@ -344,7 +369,12 @@ def remove_repeats(docs, least=LEAST, text_col="text"):
                         texts.append(text.as_py())
                         continue
                     inner = []
-                    for begin, end in merged(spans, len(raw)):
+                    if words:
+                        bounds = [m.span() for m in _WORD.finditer(raw)]
+                        found = [(bounds[a][0], bounds[b - 1][1]) for a, b in merged(spans, len(bounds))]
+                    else:
+                        found = merged(spans, len(raw))
+                    for begin, end in found:
                         while begin < end and raw[begin] & 0xC0 == 0x80:
                             begin += 1
                         while begin < end < len(raw) and raw[end] & 0xC0 == 0x80:
@@ -356,4 +386,4 @@ def remove_repeats(docs, least=LEAST, text_col="text"):
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    return _with_spans(docs, text_col, least).select(*(f"`{c}`" for c in columns), "_spans").mapInArrow(run, schema)
+    return _with_spans(docs, text_col, least, words).select(*(f"`{c}`" for c in columns), "_spans").mapInArrow(run, schema)

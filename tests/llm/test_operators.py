@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -144,6 +145,45 @@ def test_repeats_equal_brute_force(spark, least):
         assert rows[i].kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
+def test_repeated_words_go_as_by_brute_force(spark):
+    rnd = random.Random(2)
+    words = ["a", "of", "été", "漢字", "long-winded", "x.", "no", "blank"]
+    passages = [[rnd.choice(words) for _ in range(n)] for n in (51, 49, 70, 200)]
+    texts = []
+    for _ in range(40):
+        parts = [f"own{rnd.random()}"]
+        for _ in range(rnd.randint(1, 3)):
+            source = rnd.choice(passages)
+            at = rnd.randrange(len(source)) if rnd.random() < 0.5 else 0
+            parts += [*source[at : at + rnd.randint(40, 210)], f"own{rnd.random()}"]
+        texts.append(rnd.choice([" ", "\n", "  "]).join(parts))
+    texts += [None, "", "ab " * 120, texts[0], "short copy", "short copy"]
+    split = re.compile(r"[^\s漢字]+|[漢字]")
+    found = [list(split.finditer(t or "")) for t in texts]
+    units = [[m.group() for m in f] for f in found]
+    starts = Counter(tuple(u[i : i + 50]) for u in units for i in range(len(u) - 49))
+    rows = {r.doc_id: r.text for r in remove_repeats(docs_of(spark, texts), 50, words=True).collect()}
+    for i, (text, f, u) in enumerate(zip(texts, found, units)):
+        gone = np.zeros(len(u), bool)
+        for at in range(len(u) - 49):
+            if starts[tuple(u[at : at + 50])] > 1:
+                gone[at : at + 50] = True
+        kept = [w for w, g in zip(u, gone) if not g]
+        assert [m.group() for m in split.finditer(rows[i] or "")] == kept
+        assert (rows[i] is None) == (text is None) and (gone.any() or rows[i] == text)
+
+
+def test_the_pipeline_removes_a_short_worded_passage_of_51_words(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(51)
+    passage = " ".join(rnd.choice(["so", "it", "is", "we", "go", "on", "a"]) for _ in range(51))
+    assert len(passage.encode()) < 200
+    texts = [f"{' '.join(f'own{d}x{i}' for i in range(60))} {passage} end{d}" for d in range(2)]
+    rows = corpus_pipeline.repeat_removal(spark, docs_of(spark, texts), None).collect()
+    assert all(passage not in r.text and f"own{r.doc_id}x59" in r.text and f"end{r.doc_id}" in r.text for r in rows)
+
+
 # -- op 3
 
 
