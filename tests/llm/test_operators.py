@@ -277,6 +277,67 @@ def test_one_of_each_group_of_copies_stays(spark):
     assert sorted(group[i] for i in kept) == list(range(12)) and all(i % 6 == 0 for i in kept)
 
 
+def kept_by_brute_force(rows):
+    """(ids that stay, pairs of different sets at 0.8 or more) of (id, text) with distinct ids."""
+    sets = []
+    for _, text in rows:
+        words = (text or "").encode().lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    holders, root = {}, list(range(len(rows)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    pairs = 0
+    for i, own in enumerate(sets):
+        met = Counter(j for s in own or {()} for j in holders.get(s, ()))
+        for j, both in met.items():
+            if not own or 5 * both >= 4 * (len(own) + len(sets[j]) - both):
+                root[top(i)] = top(j)
+                pairs += own != sets[j]
+        for s in own or {()}:
+            holders.setdefault(s, []).append(i)
+    least = {}
+    for i, (number, _) in enumerate(rows):
+        least[top(i)] = min(number, least.get(top(i), number))
+    return sorted(least.values()), pairs
+
+
+def test_near_copies_equal_brute_force(spark):
+    rnd = random.Random(9)
+    words = [f"w{i}" for i in range(500)]
+    texts = []
+    for _ in range(12):
+        origin = [rnd.choice(words) for _ in range(rnd.randint(60, 300))]
+        texts.append(" ".join(origin))
+        # Edits from none to beyond the limit, some in a block of their own.
+        for share in (0.0, 0.005, 0.01, 0.02, 0.022, 0.025, 0.03, 0.05):
+            edited = [rnd.choice(words) if rnd.random() < share else w for w in origin]
+            texts.append(" ".join(edited))
+            n = round(len(origin) * rnd.uniform(0.05, 0.3))
+            texts.append(" ".join([*origin[n:], *(rnd.choice(words) for _ in range(n // 4))]))
+        # The same words in another order are no copy.
+        texts.append(" ".join(sorted(origin)))
+        texts.append(" ".join(sorted(origin, reverse=True)))
+    texts += [None, "", " ", "one", "One ", "one two"]
+    expected, pairs = kept_by_brute_force(list(enumerate(texts)))
+    kept = [r.doc_id for r in drop_near_duplicates(docs_of(spark, texts), 5).collect()]
+    assert pairs > 100 and sorted(kept) == expected
+
+
+def test_crowded_bands_are_split_and_lose_no_link(spark, monkeypatch):
+    from barkeep.llm import simhash
+
+    rnd = random.Random(10)
+    passage = [f"p{i}" for i in range(70)]
+    texts = [" ".join([*passage, *(f"q{rnd.randrange(40)}" for _ in range(rnd.randint(8, 30)))]) for _ in range(120)]
+    expected, _ = kept_by_brute_force(list(enumerate(texts)))
+    monkeypatch.setattr(simhash, "CELL", 7)
+    assert sorted(r.doc_id for r in drop_near_duplicates(docs_of(spark, texts), 5).collect()) == expected
+
+
 def test_fold_of_more_than_255_shingles():
     hashes = [[xxhash.xxh64_intdigest(str(i * n), 42) for i in range(n)] for n in (0, 1, 255, 256, 1000)]
     expected = [sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs)) for hs in hashes]
