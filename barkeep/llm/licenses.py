@@ -9,12 +9,17 @@ the block has a word of the template's prefix (all but ``ceil(threshold * size)
 words, so one of them must occur), has words enough, and has words enough left behind
 the first shared one; pairs that pass are counted exactly.
 
+A template of fewer than ``SHORT`` distinct words must occur whole, its words in order with at
+most one other word between two of them: of so few words, those that tell it from another license are too small a part. Of longer ones, a
+word that no template of another label holds must be in the block, if the template has such words.
+
 The templates are a parameter of bounded size, held by every task. Base phrases are
 counted wherever their words stand one after another. Null texts count as empty: no words,
 null places, empty labels, score 0. Ids may be null or repeated; each row gets its row.
 """
 
 import math
+import re
 from collections import Counter
 
 import pyarrow as pa
@@ -45,6 +50,7 @@ TEMPLATES = (
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
 )
 MOST_TEMPLATE_BYTES = 4_000_000
+SHORT = 8
 
 SCHEMA = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, "
@@ -85,13 +91,28 @@ class Matcher:
     """Templates as sets in corpus order, with an index of their prefixes."""
 
     def __init__(self, templates, frequency, threshold):
-        sets = [frozenset(word_bytes(text.encode()).split()) for _, text in templates]
+        spelt = [word_bytes(text.encode()).split() for _, text in templates]
+        sets = [frozenset(words) for words in spelt]
         self.labels = [label for label, _ in templates]
         self.order = {
             w: n for n, w in enumerate(sorted(set().union(*sets), key=lambda w: (frequency.get(w.decode(), 0), w)))
         }
         self.sorted = [sorted(self.order[w] for w in s) for s in sets]
-        self.needed = [max(1, math.ceil(threshold * len(s) - 1e-9)) for s in sets]
+        self.needed = [
+            len(s) if len(s) < SHORT else max(1, math.ceil(threshold * len(s) - 1e-9)) for s in sets
+        ]
+        self.needed = [max(1, n) for n in self.needed]
+        self.phrases = [
+            re.compile(rb"(?: \S+)? ".join([b" " + re.escape(words[0]), *map(re.escape, words[1:])]) + b" ")
+            if words and len(s) < SHORT
+            else None
+            for words, s in zip(spelt, sets)
+        ]
+        users = {}
+        for label, s in zip(self.labels, sets):
+            for w in s:
+                users.setdefault(w, set()).add(label)
+        self.own = [frozenset(self.order[w] for w in s if len(users[w]) == 1) for s in sets]
         self.prefixes = {}
         for t, numbers in enumerate(self.sorted):
             for place, number in enumerate(numbers[: len(numbers) - self.needed[t] + 1]):
@@ -107,7 +128,8 @@ class Matcher:
             return found
         order, step = self.order.get, self.length
         for start in range(0, max(1, len(words) - step), step):
-            block = set(words[start : start + 2 * step])
+            stretch = words[start : start + 2 * step]
+            block, line = set(stretch), None
             shared = sorted(n for n in map(order, block) if n is not None)
             have = set(shared)
             seen = set()
@@ -120,7 +142,11 @@ class Matcher:
                     if len(block) < need or 1 + min(len(numbers) - place - 1, len(shared) - at - 1) < need:
                         continue
                     overlap = sum(n in have for n in numbers)
-                    if overlap >= need:
+                    if overlap < need or self.own[t] and self.own[t].isdisjoint(have):
+                        continue
+                    if self.phrases[t] and line is None:
+                        line = b" %b " % b" ".join(stretch)
+                    if not self.phrases[t] or self.phrases[t].search(line):
                         found[t] = max(found.get(t, 0.0), overlap / len(numbers))
         return found
 

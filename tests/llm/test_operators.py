@@ -124,6 +124,18 @@ def test_license_scan(spark):
     assert [rows[i].labels for i in range(7)] == ["gpl,mit", "mit", "mit", "", "", "mit", ""]
 
 
+def test_short_notices_get_their_own_label_only(spark):
+    texts = [
+        "Licensed under CC BY-NC 4.0", "text. Licensed under CC BY-SA 4.0, text", "Released under the MIT License",
+        "Released under the Apache License", "lizenz mit text. This work is licensed under the GNU General Public License, version 3",
+        "mit der software. Licensed under the Apache License, Version 2.0", "released mit under the license", "Released under the Apache License mit der Software",
+        "licensed under the CC BY-NC 4.0 license",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    ]
+    rows = {r.doc_id: r.labels for r in license_scan(docs_of(spark, texts)).collect()}
+    assert [rows[i] for i in range(len(texts))] == ["cc-by-nc", "cc-by-sa", "mit", "apache", "gpl", "apache", "", "apache", "cc-by-nc", "cc-by"]
+
+
 # -- op 2
 
 
