@@ -339,6 +339,12 @@ def test_near_copies_equal_brute_force(spark):
     assert pairs > 100 and sorted(kept) == expected
 
 
+def test_near_copies_of_a_whole_table_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    expected, pairs = kept_by_brute_force([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    assert pairs and sorted(r.doc_id for r in drop_near_duplicates(docs, 5).collect()) == expected
+
+
 def test_crowded_bands_are_split_and_lose_no_link(spark, monkeypatch):
     from barkeep.llm import simhash
 
