@@ -1,11 +1,16 @@
 """The registered queries of the training-data operators, each over its whole tables."""
 
+import zlib
+
+from pyspark.sql import functions as F
+
 from barkeep.llm.chat import render_conversations
 from barkeep.llm.decontamination import contamination
 from barkeep.llm.licenses import license_scan
 from barkeep.llm.pieces import piece_digests
 from barkeep.llm.quality import quality
 from barkeep.llm.repeats import repeat_digests
+from barkeep.llm.runs import periodic_runs
 from barkeep.llm.simhash import fingerprint_text, near_duplicates
 from barkeep.llm.token_counts import token_counts
 from barkeep.llm.topk import top_k
@@ -58,6 +63,34 @@ def op10_decontamination(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def planted_run(doc_id, words):
+    """Every tenth document, by the CRC-32 of its id, has its words made periodic from some word on."""
+    n, h = len(words), 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * (1 + (n - a) // p))[: n - a]
+
+
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic_runs(table(spark, sf_dir, "documents"), rewrite=planted_run, digest=True)
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length as length, -r.start as start, -r.period as period)))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.col("collapsed").alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 QUERIES = {
     name: query for name, query in list(globals().items()) if name.startswith("op") and callable(query)
 }
