@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from barkeep.llm.chat import render_conversations
 from barkeep.llm.decontamination import contamination
 from barkeep.llm.licenses import license_scan
+from barkeep.llm.packing import pack_documents
 from barkeep.llm.pieces import piece_digests
 from barkeep.llm.quality import quality
 from barkeep.llm.repeats import repeat_digests
@@ -91,6 +92,12 @@ def op11_periodic_runs(spark, sf_dir):
     )
 
 
+def op13_packing(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES = {
     name: query for name, query in list(globals().items()) if name.startswith("op") and callable(query)
 }
