@@ -16,6 +16,8 @@ from barkeep.llm.simhash import fingerprint_text, near_duplicates
 from barkeep.llm.token_counts import token_counts
 from barkeep.llm.topk import top_k
 from barkeep.llm.toxicity import toxicity
+from barkeep.llm.trie import end_digests, numbered_turns, prefix_trie
+from barkeep.scratch import stage
 
 
 def table(spark, sf_dir, name):
@@ -92,6 +94,30 @@ def op11_periodic_runs(spark, sf_dir):
     )
 
 
+def rebuilt(turns):
+    """(turns, members): each conversation c begins with the first turns of c - c % 5, as many as its CRC-32 tells."""
+    turns = turns.withColumn("head", F.crc32(F.col("conv_id").cast("string")) % 9)
+    turns = turns.withColumn("base", F.col("conv_id") - F.col("conv_id") % 5)
+    members = turns.groupBy("conv_id").agg(F.min("head").alias("head"), F.min("base").alias("base"))
+    sizes = turns.groupBy("conv_id").agg(F.count("*").alias("size")).select(F.col("conv_id").alias("base"), "size")
+    first = turns.where("conv_id = base and place <= 8").select("base", "place", "a", "b", "bytes")
+    first = members.join(first, "base").where("place <= head").select("conv_id", "place", "a", "b", "bytes")
+    shift = F.least("head", F.coalesce("size", F.lit(0).cast("long"))) - F.col("head")
+    own = turns.where("place > head").join(stage(sizes, "sizes"), "base", "left")
+    own = own.select("conv_id", (F.col("place") + shift).alias("place"), "a", "b", "bytes")
+    return first.union(own), members.select("conv_id")
+
+
+def op12_conversation_trie(spark, sf_dir):
+    turns = stage(numbered_turns(table(spark, sf_dir, "conversations")), "numbered")
+    nodes, ends = prefix_trie(*rebuilt(turns))
+    return nodes.join(end_digests(ends), ["n1", "n2"], "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+        F.col("saved_bytes").alias("saved_tokens"),
+        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
+
+
 def op13_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
