@@ -11,7 +11,7 @@ from barkeep.operators.normalize import PERMISSIVE, STRICT
 from barkeep.operators.profile import profile
 from barkeep.plans.backfill import backfill
 from barkeep.plans.daily import daily_update
-from barkeep.plans.load import load_bars, load_relational
+from barkeep.plans.load import load_bars, load_relational, refresh_bars
 from barkeep.plans.metrics import update_metrics
 from barkeep.session import build_session
 from barkeep.sinks.relational import BATCH_ROWS, ensure_target
@@ -24,7 +24,7 @@ from barkeep.sinks.tables import (
 from barkeep.sources.raw_files import list_files, read_inferred, read_ranges
 from barkeep.streaming.ingest import ingest_new_files
 
-MODES = (ranges.OUTPUT, ranges.DAILY_IMPACTED, ranges.BOTH_SIDES)
+MODES = (ranges.OUTPUT, ranges.DAILY_IMPACTED, ranges.BOTH_SIDES, ranges.NEW_DAYS)
 
 
 def _bounds(parser, required=False):
@@ -47,7 +47,7 @@ def _requested(args):
 def job_load(spark, args):
     load_bars(
         spark, args.input_path, args.table, args.start_date, args.end_date, args.write_disposition,
-        args.slack_days,
+        args.slack_days, args.ledger,
     )
 
 
@@ -61,17 +61,21 @@ def job_metrics(spark, args):
         args.date_range_mode,
         args.unique_days,
     )
-    return {"start": days.start, "end": days.end}
+    return {"start": days.start, "end": days.end} if days else None
 
 
 def job_daily(spark, args):
     days = _requested(args)
     return daily_update(
         spark, args.input_path, args.table, args.target_table, days, args.date_range_mode,
-        args.slack_days,
+        args.slack_days, args.ledger,
     ).asDict()
 
 
+def job_refresh(spark, args):
+    return {"days": refresh_bars(spark, args.input_path, args.table, args.ledger)}
+
+
 def job_manifest(spark, args):
     days = _requested(args)
     manifest = staging_manifest(list_files(spark, args.input_path, days), days)
@@ -84,7 +88,7 @@ def job_backfill(spark, args):
 
 
 def job_ingest(spark, args):
-    ingest_new_files(spark, args.input_path, args.table, args.checkpoint, args.files_per_batch)
+    ingest_new_files(spark, args.input_path, args.table, args.checkpoint, args.files_per_batch, args.ledger)
 
 
 def job_relational(spark, args):
@@ -135,6 +139,7 @@ def parser():
     sub = job("load", job_load, "--input-path", "--table")
     _bounds(sub)
     sub.add_argument("--slack-days", type=int, help="open only files of the days and these around them")
+    sub.add_argument("--ledger", help="table that remembers which days each file holds")
     sub.add_argument(
         "--write-disposition", choices=(OVERWRITE_PARTITIONS, APPEND), default=OVERWRITE_PARTITIONS
     )
@@ -148,11 +153,14 @@ def parser():
     _request(sub)
     sub.add_argument("--date-range-mode", choices=MODES[1:], default=ranges.DAILY_IMPACTED)
     sub.add_argument("--slack-days", type=int, help="open only files of the days and these around them")
+    sub.add_argument("--ledger", help="table that remembers which days each file holds")
+    job("refresh", job_refresh, "--input-path", "--table", "--ledger")
     _request(job("manifest", job_manifest, "--input-path"))
     sub = job("backfill", job_backfill, "--ranges", "--table")
     sub.add_argument("--mode", choices=(PERMISSIVE, STRICT), default=PERMISSIVE)
     sub = job("ingest", job_ingest, "--input-path", "--table", "--checkpoint")
     sub.add_argument("--files-per-batch", type=int)
+    sub.add_argument("--ledger", help="also notice files that were replaced under their name")
     sub = job("relational", job_relational, "--input-path", "--url")
     sub.add_argument("--schema", default="public")
     sub.add_argument("--table", default="daily_pricing")

@@ -16,6 +16,8 @@ LOADER_LOOKBACK_DAYS = 1
 OUTPUT = "output"
 DAILY_IMPACTED = "daily_impacted"
 BOTH_SIDES = "both_sides"
+# Our own: the newest days, added to metrics that are complete up to them.
+NEW_DAYS = "new_days"
 
 
 def parse_day(value):

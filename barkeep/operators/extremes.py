@@ -1,5 +1,7 @@
 """Trailing and leading 52-week highs and lows per ticker."""
 
+import datetime as dt
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -65,3 +67,62 @@ def range_extremes(bars, start, end, unique_days=False):
     extremes = extremes.withColumnsRenamed({"trade_date": "_day", "ticker": "_ticker"})
     same = (F.col("trade_date") == F.col("_day")) & F.col("ticker").eqNullSafe(F.col("_ticker"))
     return wanted.join(extremes, same).select(*METRIC_COLUMNS)
+
+
+def new_day_extremes(bars, start, end):
+    """52-week extremes of the bars dated ``start`` to ``end``, the newest there are, unique by ticker and day.
+
+    The bars within a year of every new day are the same for all of them, and go into one high and low per ticker by
+    plain aggregation. A window is left only over the new days and as many days a year earlier,
+    by which the trailing years differ.
+    """
+    output = DayRange.of(start, end)
+    if len(output) > SPAN_DAYS:
+        raise ValueError(f"{len(output)} new days have no year in common: use range_extremes")
+    core = bars.filter(
+        (F.col("trade_date") >= F.date_sub(F.lit(output.end), SPAN_DAYS)) & (F.col("trade_date") < F.lit(output.start))
+    )
+    core = core.groupBy(F.col("ticker").alias("_ticker")).agg(
+        F.max("high").alias("core_high"), F.min("low").alias("core_low")
+    )
+    # Up to the first day of the core, which tells whether the last new day's year is complete.
+    shifted = DayRange(*(day - dt.timedelta(days=SPAN_DAYS) for day in (output.start, output.end)))
+    near = bars.filter(shifted.contains("trade_date") | output.contains("trade_date"))
+    framed = _with_extremes(near).filter(output.contains("trade_date"))
+    joined = framed.join(core, F.col("ticker").eqNullSafe(F.col("_ticker")), "left")
+    for name, pick in (("high", F.greatest), ("low", F.least)):
+        past = pick(f"trailing_{name}", f"core_{name}")
+        joined = joined.withColumn(f"past_{name}_52_weeks", F.when(F.col("complete"), past))
+    return joined.select(*METRIC_COLUMNS)
+
+
+def raised_by_new_days(metrics, bars, start, end):
+    """Rows of ``metrics`` in the year before ``start`` whose leading year meets a bar dated ``start`` to ``end``.
+
+    Their highs and lows ahead are the old ones or those of the new bars within reach, whichever is further out.
+    ``bars`` are unique by ticker and day. The running highs and lows of the new bars are looked up
+    by the last day in reach; no window covers the old year.
+    """
+    new = DayRange.of(start, end)
+    running = Window.partitionBy("ticker").orderBy("trade_date").rowsBetween(Window.unboundedPreceding, 0)
+    onward = Window.partitionBy("ticker").orderBy("trade_date")
+    # Until the day before the ticker's next new bar, a bar is the last one in reach.
+    until = F.coalesce(F.date_sub(F.lead("trade_date").over(onward), 1), F.lit(new.end))
+    reach = bars.filter(new.contains("trade_date")).select(
+        F.col("ticker").alias("_ticker"),
+        F.max("high").over(running).alias("new_high"),
+        F.min("low").over(running).alias("new_low"),
+        "trade_date",
+        until.alias("until"),
+    )
+    reach = reach.select("_ticker", "new_high", "new_low", F.explode(F.sequence("trade_date", "until")).alias("_reach"))
+    old = metrics.filter(
+        (F.col("trade_date") >= F.date_sub(F.lit(new.start), SPAN_DAYS)) & (F.col("trade_date") < F.lit(new.start))
+    )
+    last_in_reach = F.least(F.date_add("trade_date", SPAN_DAYS), F.lit(new.end))
+    met = old.join(reach, F.col("ticker").eqNullSafe(F.col("_ticker")) & (last_in_reach == F.col("_reach")))
+    return met.select(
+        *[c for c in METRIC_COLUMNS if not c.startswith("future_")],
+        F.greatest("future_high_52_weeks", "new_high").alias("future_high_52_weeks"),
+        F.least("future_low_52_weeks", "new_low").alias("future_low_52_weeks"),
+    )

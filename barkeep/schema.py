@@ -59,3 +59,16 @@ METRICS = _layout(METRIC_COLUMNS)
 FILE_DAYS = T.StructType(
     [T.StructField(c, _TYPES[c]) for c in BAR_KEY] + [T.StructField(FILE_DAY, T.DateType()), T.StructField("month", T.DateType())]
 )
+
+# A version of a raw file, see sources.ledger.
+LEDGER = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("modified", T.TimestampType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("days", T.ArrayType(T.DateType())),
+        T.StructField("loaded", T.BooleanType()),
+        T.StructField("recorded_at", T.TimestampType()),
+    ]
+)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from barkeep.functions.columns import day_in_file_name
 from barkeep.schema import FILE_DAY, RAW_COLUMNS, RAW_TYPED
+from barkeep.scratch import stage
 
 
 class MissingColumnsError(ValueError):
@@ -142,24 +143,27 @@ def scan_text(
             _fail_for(spark, first, columns)
         return _text_rows(spark, path, columns, days, slack_days, with_path)
 
-    # One entry per file, like the file listing the driver holds for any scan.
-    found = file_headers(spark, path, days, slack_days).collect()
-    if listing.count() != len({f.path for f in found}):
-        bare = {r.path for r in listing.collect()} - {f.path for f in found}
-        _fail_for(spark, min(bare))
-    files_by_header = {}
-    for f in found:
-        files_by_header.setdefault(f.header, []).append(f.path)
-    if len(files_by_header) < 2:
-        columns = _cells(spark, found[0].header) if found else RAW_COLUMNS
+    found = stage(file_headers(spark, path, days, slack_days), "headers")
+    bare = listing.join(found, "path", "left_anti").agg(F.min("path").alias("path")).first().path
+    if bare:
+        _fail_for(spark, bare)
+    headers = sorted(r.header for r in found.select("header").distinct().collect())
+    if len(headers) < 2:
+        columns = _cells(spark, headers[0]) if headers else RAW_COLUMNS
         return _text_rows(spark, path, columns, days, slack_days, with_path)
-    parts = [
-        _text_rows(spark, files, _cells(spark, header), None, 0, with_path)
-        for header, files in sorted(files_by_header.items())
-    ]
+    # Only where headers differ must the driver name the files of each to its scan.
+    parts = []
+    for header in headers:
+        files = [r.path for r in found.filter(F.col("header") == header).select("path").collect()]
+        parts.append(_text_rows(spark, files, _cells(spark, header), None, 0, with_path))
     return reduce(DataFrame.unionByName, parts)
 
 
+def is_header_mismatch(problem):
+    """Whether a scan failed because a file's header is not the one it was told to expect."""
+    return isinstance(problem, MissingColumnsError) or "CSV header" in str(problem)
+
+
 def _cells(spark, header):
     """Names in a header line, by the CSV reader itself: quoted names may hold commas."""
     line = spark.createDataFrame([(header,)], "value string").select(

@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 from barkeep.functions.columns import day_in_file_name
 from barkeep.operators.dedup import latest_per_key
 from barkeep.operators.normalize import normalize_typed
+from barkeep.plans.load import refresh_bars
 from barkeep.schema import BAR_KEY, FILE_DAY, RAW_COLUMNS, RAW_TYPED
 from barkeep.scratch import stage
 from barkeep.sinks.tables import create_bars_table, create_file_days_table
 from barkeep.sinks.upsert import upsert_table
-
+from barkeep.sources.ledger import described, file_versions, last_loaded, mark_loaded
 
 FILE_DAYS_SUFFIX = "__file_days"
 
@@ -29,7 +30,7 @@ def stream_bars(spark, input_path, files_per_batch=None):
     return reader.csv(input_path).select(*RAW_COLUMNS, day_in_file_name().alias(FILE_DAY))
 
 
-def ingest_new_files(spark, input_path, table, checkpoint, files_per_batch=None):
+def ingest_new_files(spark, input_path, table, checkpoint, files_per_batch=None, ledger=None):
     """Upsert the bars of all files not seen before, then stop.
 
     As in a batch load the bar of the last file day wins, in whichever order files
@@ -37,10 +38,15 @@ def ingest_new_files(spark, input_path, table, checkpoint, files_per_batch=None)
     stream has written. (Bars loaded otherwise have none and give way.)
 
     The checkpoint remembers the files done. A batch repeated after a failure
-    upserts the same rows again, which changes nothing. A file replaced under its
-    old name is not noticed: load restated days with ``plans.load.load_bars``.
+    upserts the same rows again, which changes nothing. A file source knows a file by its name
+    alone: with a ``ledger`` (see ``sources.ledger``) the days of files that were replaced under their
+    name or removed since the last call are reloaded first, without it they go unnoticed.
     """
     create_bars_table(spark, table)
+    seen = None
+    if ledger is not None:
+        refresh_bars(spark, input_path, table, ledger, new_files=False)
+        seen = described(spark, file_versions(spark, input_path), ledger)
     side = f"{table}{FILE_DAYS_SUFFIX}"
     create_file_days_table(spark, side)
 
@@ -69,6 +75,9 @@ def ingest_new_files(spark, input_path, table, checkpoint, files_per_batch=None)
         .start()
     )
     query.awaitTermination()
+    if seen is not None:
+        # What lay there before the stream began is in the table now; a version that came later is new next time.
+        mark_loaded(seen.join(last_loaded(spark, ledger), "path", "left_anti"), ledger)
     # Batches write in a session of their own; this one may still know the files before.
     for written in (table, side):
         spark.catalog.refreshTable(written)

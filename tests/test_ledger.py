@@ -1,0 +1,123 @@
+"""The ledger of file versions: which files a load opens, and what a replaced file changes."""
+
+import datetime as dt
+import os
+
+import pytest
+from conftest import line
+
+from barkeep.plans import load
+from barkeep.plans.load import load_bars, refresh_bars
+from barkeep.sources import ledger as ledgers
+from barkeep.sources.raw_files import list_files, scan_bars
+
+
+@pytest.fixture
+def opened(monkeypatch):
+    """The files that each scan of bars was given."""
+    seen = []
+
+    def watched(spark, path, *args, **options):
+        seen.append(sorted(os.path.basename(p) for p in path) if isinstance(path, list) else path)
+        return scan_bars(spark, path, *args, **options)
+
+    monkeypatch.setattr(load, "scan_bars", watched)
+    monkeypatch.setattr(ledgers, "scan_bars", watched)
+    return seen
+
+
+def days_of(spark, table):
+    rows = spark.table(table).select("ticker", "trade_date", "volume").collect()
+    return {(r.ticker, r.trade_date.day): r.volume for r in rows}
+
+
+def test_a_load_by_date_opens_the_files_that_hold_the_days(spark, raw_zone, table_name, opened):
+    raw_zone("2024-01-02", [line("A", "2024-01-02")])
+    raw_zone("2024-01-03", [line("A", "2024-01-03")])
+    raw_zone("2024-01-04", [line("A", "2024-01-04")])
+    raw_zone("2024-06-01", [line("LATE", "2024-01-03"), line("A", "2024-06-01")])
+    ledger = f"{table_name}_files"
+    load_bars(spark, raw_zone.root, table_name, "2024-01-03", "2024-01-03", ledger=ledger)
+    assert days_of(spark, table_name) == {("A", 3): 100, ("LATE", 3): 100}
+    described, read = opened
+    assert len(described) == 4 and read == ["2024-01-03.csv.gz", "2024-06-01.csv.gz"]
+    # Another load reads a new file once, and of the others only those of its days.
+    opened.clear()
+    raw_zone("2024-01-05", [line("A", "2024-01-05")])
+    load_bars(spark, raw_zone.root, table_name, "2024-01-04", "2024-01-05", ledger=ledger)
+    assert opened == [["2024-01-05.csv.gz"], ["2024-01-04.csv.gz", "2024-01-05.csv.gz"]]
+    opened.clear()
+    load_bars(spark, raw_zone.root, table_name, "2025-01-01", ledger=ledger)
+    assert opened == []
+
+
+def test_a_file_replaced_under_its_name_is_noticed(spark, raw_zone, table_name, opened):
+    raw_zone("2024-01-02", [line("A", "2024-01-02"), line("B", "2024-01-02")])
+    file = raw_zone("2024-01-03", [line("A", "2024-01-03"), line("A", "2024-01-04")])
+    gone = raw_zone("2024-01-05", [line("C", "2024-01-05"), line("C", "2024-01-02")])
+    ledger = f"{table_name}_files"
+    assert refresh_bars(spark, raw_zone.root, table_name, ledger) == 4
+    assert refresh_bars(spark, raw_zone.root, table_name, ledger) == 0
+    raw_zone("2024-01-03", [line("A", "2024-01-03", volume="7"), line("B", "2024-01-03")])
+    assert os.path.exists(file)
+    opened.clear()
+    # The replaced file held the 4th as well, which has no bar any more.
+    assert refresh_bars(spark, raw_zone.root, table_name, ledger) == 2
+    assert opened == [["2024-01-03.csv.gz"], ["2024-01-03.csv.gz"]]
+    both = {("A", 2): 100, ("B", 2): 100, ("A", 3): 7, ("B", 3): 100}
+    assert days_of(spark, table_name) == both | {("C", 2): 100, ("C", 5): 100}
+    os.remove(gone)
+    assert refresh_bars(spark, raw_zone.root, table_name, ledger) == 2
+    assert days_of(spark, table_name) == both
+    assert refresh_bars(spark, raw_zone.root, table_name, ledger) == 0
+
+
+def test_a_refresh_that_broke_off_is_repeated(spark, raw_zone, table_name, monkeypatch):
+    raw_zone("2024-01-02", [line("A", "2024-01-02")])
+    ledger = f"{table_name}_files"
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(load, "write_table", broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            refresh_bars(spark, raw_zone.root, table_name, ledger)
+    assert refresh_bars(spark, raw_zone.root, table_name, ledger) == 1
+    assert days_of(spark, table_name) == {("A", 2): 100}
+
+
+def test_loads_by_date_do_not_count_as_refreshed(spark, raw_zone, table_name):
+    raw_zone("2024-01-02", [line("A", "2024-01-02"), line("A", "2024-01-03")])
+    ledger = f"{table_name}_files"
+    load_bars(spark, raw_zone.root, table_name, "2024-01-02", "2024-01-02", ledger=ledger)
+    assert refresh_bars(spark, raw_zone.root, table_name, ledger) == 2
+    assert days_of(spark, table_name) == {("A", 2): 100, ("A", 3): 100}
+
+
+def test_files_without_bars_and_names_with_blanks(spark, raw_zone, table_name):
+    raw_zone("2024-01-02", [line("", "2024-01-02")])
+    raw_zone("2024-01-03 again", [line("A", "2024-01-03")])
+    ledger = f"{table_name}_files"
+    assert refresh_bars(spark, raw_zone.root, table_name, ledger) == 1
+    entries = spark.table(ledger).filter("loaded").collect()
+    assert sorted((r.rows, r.days) for r in entries) == [(0, []), (1, [dt.date(2024, 1, 3)])]
+    assert list_files(spark, raw_zone.root).count() == 2
+
+
+def test_a_stream_with_a_ledger_notices_a_replaced_file(spark, raw_zone, table_name, tmp_path):
+    from barkeep.streaming.ingest import ingest_new_files
+
+    raw_zone("2024-01-02", [line("A", "2024-01-02")])
+    gone = raw_zone("2024-01-03", [line("B", "2024-01-03")])
+
+    def ingest():
+        ingest_new_files(spark, raw_zone.root, table_name, str(tmp_path / "checkpoint"), ledger=f"{table_name}_files")
+        return days_of(spark, table_name)
+
+    assert ingest() == {("A", 2): 100, ("B", 3): 100}
+    raw_zone("2024-01-02", [line("A", "2024-01-02", volume="7")])
+    raw_zone("2024-01-04", [line("C", "2024-01-04"), line("C", "2024-01-02")])
+    os.remove(gone)
+    assert ingest() == {("A", 2): 7, ("C", 2): 100, ("C", 4): 100}
+    assert ingest() == {("A", 2): 7, ("C", 2): 100, ("C", 4): 100}

@@ -1,0 +1,66 @@
+"""Metrics of new days by the delta rule, against a computation from scratch."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from barkeep.operators.extremes import new_day_extremes, range_extremes
+from barkeep.plans import metrics as plans
+from barkeep.schema import BARS
+from barkeep.sinks.tables import create_bars_table, write_table
+
+
+def test_new_days_by_the_delta_rule(spark, table_name):
+    """Days added one run after the other, with gaps, ties and NaN, equal a computation from scratch."""
+    rnd = random.Random(3)
+    first = dt.date(2022, 1, 3)
+    rows = []
+    for day in range(0, 601):
+        for ticker in "ABCD":
+            if rnd.random() < (0.9 if ticker == "A" else 0.3) and not (ticker == "D" and day < 550):
+                high = rnd.choice([float(rnd.randrange(50)), float("nan")]) if ticker == "C" else float(rnd.randrange(50))
+                date = first + dt.timedelta(days=day)
+                rows.append((ticker, date, day, 1.0, 1.0, 1.0, high, float(-rnd.randrange(50)), 1))
+    bars = spark.createDataFrame(rows, BARS)
+    bars_table, metrics_table = f"{table_name}_b", f"{table_name}_m"
+    create_bars_table(spark, bars_table)
+    known = first + dt.timedelta(days=500)
+    write_table(bars.filter(F.col("trade_date") <= F.lit(known)), bars_table)
+    plans.update_metrics(spark, bars_table, metrics_table, first, known)
+    recomputed, whole = [], plans.update_metrics
+
+    for start, end in ((501, 501), (500, 505), (502, 600)):
+        asked = [first + dt.timedelta(days=d) for d in (start, end)]
+        write_table(bars.filter(F.col("trade_date").between(*map(F.lit, asked))), bars_table)
+        plans.update_metrics = lambda *a, **k: recomputed.append(a) or whole(*a, **k)
+        try:
+            plans.extend_metrics(spark, bars_table, metrics_table, *asked)
+        finally:
+            plans.update_metrics = whole
+        expected = range_extremes(spark.table(bars_table), first, asked[1], unique_days=True)
+        got = spark.table(metrics_table).select(*expected.columns)
+        assert str(sorted(map(tuple, got.collect()))) == str(sorted(map(tuple, expected.collect())))
+    assert not recomputed
+    # Nothing to do, a restated day, and more new days than a year.
+    assert plans.extend_metrics(spark, bars_table, metrics_table, *asked) is None
+    write_table(bars.filter(F.col("trade_date") == F.lit(asked[1])).withColumn("high", F.lit(99.0)), bars_table)
+    plans.extend_metrics(spark, bars_table, metrics_table, *asked)
+    expected = range_extremes(spark.table(bars_table), first, asked[1], unique_days=True)
+    got = spark.table(metrics_table).select(*expected.columns)
+    assert str(sorted(map(tuple, got.collect()))) == str(sorted(map(tuple, expected.collect())))
+
+
+def test_the_delta_rule_puts_no_window_over_the_old_year(spark):
+    """Windows see the new days and as many a year earlier; the year between is aggregated."""
+    days = spark.range(800).select(F.date_add(F.lit(dt.date(2022, 1, 1)), F.col("id").cast("int")).alias("trade_date"))
+    bars = days.select(
+        F.lit("A").alias("ticker"), "trade_date", *[F.lit(1).cast(f.dataType).alias(f.name) for f in BARS[2:]]
+    )
+    start = dt.date(2024, 1, 1)
+    plan = new_day_extremes(bars, start, start + dt.timedelta(days=4))._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Window [") :].split("Aggregate [")[0]
+    assert "2023-01-02" in below and "2023-01-06" in below and "2024-01-01" in below
+    with pytest.raises(ValueError, match="no year in common"):
+        new_day_extremes(bars, start, start + dt.timedelta(days=400))

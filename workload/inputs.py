@@ -51,7 +51,8 @@ def write_day_files(rows, day, root):
     """Write ``rows`` as gzip CSV in the raw zone's layout, by the date column ``day``.
 
     Spark writes one directory per day; the driver then gives each file the name
-    of its day (``-1``, ``-2``… for further files of a day that was split).
+    of its day (``-1``, ``-2``… for further files of a day that was split). A file of
+    that name is replaced.
     """
     spark = rows.sparkSession
     parts = rows.withColumn("_dir", F.date_format(day, "yyyy-MM-dd"))
@@ -74,7 +75,10 @@ def write_day_files(rows, day, root):
             months.add(month)
         for i, part in enumerate(file_system.listStatus(folder.getPath())):
             suffix = f"-{i}" if i else ""
-            file_system.rename(part.getPath(), path(f"{month}/{date}{suffix}.csv.gz"))
+            file = path(f"{month}/{date}{suffix}.csv.gz")
+            if file_system.exists(file):
+                file_system.delete(file, False)
+            file_system.rename(part.getPath(), file)
     return root
 
 

@@ -242,11 +242,16 @@ FROM (SELECT * FROM events ORDER BY event_id LIMIT 10)
     "bars_exact_file": BARS
     + "SELECT * FROM bars WHERE trade_date = (SELECT max(trade_date) FROM normalized)",
     "bars_late_rows": SOME_BARS,
-    "bars_restated": BARS
+    "bars_restated": BARS + "SELECT * REPLACE (volume * 2 AS volume) FROM bars",
+    "bars_late_by_ledger": ALL_BARS,
+    "bars_refreshed": BARS
     + f"""
-SELECT * REPLACE (volume * 2 AS volume) FROM bars
-WHERE trade_date BETWEEN '{FIRST}' AND '1997-04-30'
+SELECT * REPLACE (CASE WHEN trade_date BETWEEN '{FIRST}' AND '{LAST}' THEN volume * 2 ELSE volume END AS volume)
+FROM bars
 """,
+    "metrics_new_days": BARS
+    + ", known AS (SELECT * FROM bars WHERE trade_date <= '1997-08-31')"
+    + extremes("known", WHOLE[0], "DATE '1997-08-31'"),
     "staging_split_days": """
 SELECT DISTINCT CAST(ts AS DATE) AS trade_date, CAST(2 AS BIGINT) AS files,
        strftime(ts, '%Y-%m-%d') || '-1.csv.gz,' || strftime(ts, '%Y-%m-%d') || '.csv.gz' AS names
@@ -254,15 +259,11 @@ FROM events
 """,
     "backfill_bad_range": BARS
     + """
-, ranges AS (
-  SELECT unnest([DATE '1997-03-01', DATE '1997-04-01', DATE '1997-05-01']) AS start_date
-)
-SELECT start_date,
-       CASE WHEN start_date = DATE '1997-04-01' THEN 'FAILED' ELSE 'SUCCEEDED' END AS status,
-       start_date = DATE '1997-04-01' AS has_error,
-       CASE WHEN start_date = DATE '1997-04-01' THEN 0 ELSE (
-         SELECT count(*) FROM bars b WHERE date_trunc('month', b.trade_date) = r.start_date) END AS loaded
-FROM ranges r
+SELECT CAST(date_trunc('month', trade_date) AS DATE) AS month,
+       CASE WHEN month = DATE '1997-04-01' THEN 'FAILED' ELSE 'SUCCEEDED' END AS status,
+       month = DATE '1997-04-01' AS has_error,
+       CASE WHEN month = DATE '1997-04-01' THEN 0 ELSE count(*) END AS loaded
+FROM bars GROUP BY month
 """,
     "table_properties": BARS
     + "SELECT 'barkeep.kind' AS key, 'bars' AS value, count(*) AS rows FROM bars",

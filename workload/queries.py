@@ -8,6 +8,7 @@ from barkeep.functions.columns import raw_key, utc_date
 from barkeep.functions.ranges import (
     BOTH_SIDES,
     DAILY_IMPACTED,
+    NEW_DAYS,
     DayRange,
     bounded,
     loader_request,
@@ -25,6 +26,7 @@ from barkeep.plans.load import (
     bars_from_text,
     load_bars,
     load_relational,
+    refresh_bars,
     staged_text,
 )
 from barkeep.plans.metrics import update_metrics
@@ -64,8 +66,12 @@ from workload.inputs import (
 
 # The days loaded a second time, or asked for, in the queries about ranges.
 SOME_DAYS = ("1997-03-01", "1998-02-28")
+# Days that a daily run asks for: the last one that is known, and half a year after it.
+NEW_DAYS_ASKED = ("1997-03-01", "1997-08-31")
 EVENT_DAYS = DayRange.of("2023-12-25", "2024-02-05")
 FILES_PER_BATCH = 1000
+# The month whose files lack a column in the query about failing ranges.
+BAD_MONTH = "1997-04-01"
 
 # Database for the relational load. Unset, an in-memory one inside the driver
 # process is used, which executors can reach only in local mode.
@@ -300,7 +306,9 @@ def backfill_table(spark, sf_dir):
 
 def bars_load_counters(spark, sf_dir):
     root = raw_zone(spark, sf_dir)
-    counted = counters.rows_per_file(list_files(spark, root), staged_text(spark, root))
+    # Counted in the scan itself: nothing else needs the rows.
+    rows = scan_text(spark, root, one_header=True, with_path=True)
+    counted = counters.rows_per_file(list_files(spark, root), rows)
     return counted.withColumn("path", F.element_at(F.split("path", "/"), -1))
 
 
@@ -383,15 +391,47 @@ def bars_late_rows(spark, sf_dir):
 
 
 def bars_restated(spark, sf_dir):
-    """Days loaded, their files replaced by restated ones, and loaded again by date."""
-    days = DayRange.of(SOME_DAYS[0], "1997-04-30")
-    rows = raw_bars(spark, sf_dir).withColumn("_day", utc_date("window_start"))
-    rows = rows.filter(days.contains("_day"))
+    """All days loaded, then loaded again by date from a zone of restated files."""
     name = bars_table(spark, "restated")
-    for factor, label in ((1, "first"), (2, "restated")):
-        changed = rows.withColumn("volume", F.col("volume") * factor).drop("_day")
-        root = write_day_files(changed, utc_date("window_start"), fresh_dir(spark, label))
-        load_bars(spark, root, name, days.start, days.end)
+    load_bars(spark, raw_zone(spark, sf_dir), name)
+    restated = raw_bars(spark, sf_dir).withColumn("volume", F.col("volume") * 2)
+    root = write_day_files(restated, utc_date("window_start"), fresh_dir(spark, "restated-files"))
+    load_bars(spark, root, name, *all_days(spark, sf_dir))
+    return read_table(spark, name)
+
+
+def bars_late_by_ledger(spark, sf_dir):
+    """Bars of some days lie in files of a day months later; the ledger knows which to open."""
+    moved = F.add_months(utc_date("window_start"), 6)
+    root = write_day_files(raw_bars(spark, sf_dir), moved, fresh_dir(spark, "late"))
+    name, ledger = bars_table(spark, "ledgered"), fresh_table(spark, "ledger")[0]
+    first, last = all_days(spark, sf_dir)
+    for days in ((first, SOME_DAYS[0]), SOME_DAYS, (SOME_DAYS[1], last)):
+        load_bars(spark, root, name, *days, ledger=ledger)
+    return read_table(spark, name)
+
+
+def bars_refreshed(spark, sf_dir):
+    """Files of some days are replaced under their names, and a refresh notices."""
+    root = write_day_files(raw_bars(spark, sf_dir), utc_date("window_start"), fresh_dir(spark, "replaced"))
+    name, ledger = bars_table(spark, "refreshed"), fresh_table(spark, "ledger")[0]
+    refresh_bars(spark, root, name, ledger)
+    rows = raw_bars(spark, sf_dir).withColumn("_day", utc_date("window_start"))
+    rows = rows.filter(DayRange.of(*SOME_DAYS).contains("_day")).drop("_day")
+    write_day_files(rows.withColumn("volume", F.col("volume") * 2), utc_date("window_start"), root)
+    refresh_bars(spark, root, name, ledger)
+    return read_table(spark, name)
+
+
+def metrics_new_days(spark, sf_dir):
+    """Metrics of the bars up to some day, then of half a year of new days, added by the delta rule."""
+    rows = bounded(bars(spark, sf_dir), end=NEW_DAYS_ASKED[1])
+    bars_name = bars_table(spark, "extended-bars", bounded(rows, end=SOME_DAYS[0]))
+    name, location = fresh_table(spark, "extended")
+    create_metrics_table(spark, name, location)
+    update_metrics(spark, bars_name, name, all_days(spark, sf_dir)[0], SOME_DAYS[0], unique_days=True)
+    write_table(bounded(rows, NEW_DAYS_ASKED[0], NEW_DAYS_ASKED[1]), bars_name)
+    update_metrics(spark, bars_name, name, *NEW_DAYS_ASKED, mode=NEW_DAYS)
     return read_table(spark, name)
 
 
@@ -410,22 +450,18 @@ def staging_split_days(spark, sf_dir):
 
 
 def backfill_bad_range(spark, sf_dir):
-    """A range whose files lack a column fails alone; the ranges beside it are loaded."""
+    """All months as ranges, of which one month's files lack a column: it fails alone, the others are loaded."""
     rows = raw_bars(spark, sf_dir).withColumn("_day", utc_date("window_start"))
-    root = fresh_dir(spark, "ranges")
-    periods = [("1997-03-01", "1997-03-31"), ("1997-04-01", "1997-04-30"), ("1997-05-01", "1997-05-31")]
-    listed = []
-    for i, (start, end) in enumerate(periods):
-        part = rows.filter(F.col("_day").between(F.lit(start), F.lit(end)))
-        write_day_files(part.drop("_day", *(["high"] if i == 1 else [])), utc_date("window_start"), f"{root}/{i}")
-        listed.append((i, f"{root}/{i}", dt.date.fromisoformat(start), dt.date.fromisoformat(end)))
-    ranges = spark.createDataFrame(listed, "range_id int, input_path string, start_date date, end_date date")
+    root, bad = fresh_dir(spark, "ranges"), F.trunc("_day", "month") == F.lit(BAD_MONTH).cast("date")
+    write_day_files(rows.filter(~bad).drop("_day"), utc_date("window_start"), root)
+    write_day_files(rows.filter(bad).drop("_day", "high"), utc_date("window_start"), root)
+    ranges = monthly_ranges(spark, root, DayRange(*all_days(spark, sf_dir)))
     name = bars_table(spark, "bad-range")
     done = backfill(spark, ranges, name)
-    per_month = read_table(spark, name).groupBy(F.trunc("trade_date", "month").alias("start_date"))
+    per_month = read_table(spark, name).groupBy(F.trunc("trade_date", "month").alias("month"))
     loaded = per_month.agg(F.count("*").alias("loaded"))
-    return done.join(loaded, "start_date", "left").select(
-        "start_date",
+    return done.withColumn("month", F.trunc("start_date", "month")).join(loaded, "month", "left").select(
+        "month",
         "status",
         F.col("error").isNotNull().alias("has_error"),
         F.coalesce("loaded", F.lit(0)).cast("long").alias("loaded"),
@@ -501,6 +537,9 @@ QUERIES = {
         bars_exact_file,
         bars_late_rows,
         bars_restated,
+        bars_late_by_ledger,
+        bars_refreshed,
+        metrics_new_days,
         staging_split_days,
         backfill_bad_range,
         table_properties,
