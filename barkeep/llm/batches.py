@@ -1,5 +1,6 @@
 """Small helpers shared by the operators that work on Arrow batches."""
 
+import ctypes
 import os
 
 import pyarrow as pa
@@ -85,3 +86,32 @@ class Memo(dict):
             self.clear()
         self[key] = value
         return value
+
+
+def unused_names(docs, *wanted):
+    """Column names like ``wanted`` that ``docs`` does not have, in any letter case."""
+    taken, found = {c.lower() for c in docs.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def tidied(run, *memos):
+    """``run`` over batches that gives its memory back at the end: workers outlive their tasks."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            for memo in memos:
+                memo.clear()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except AttributeError:  # not glibc
+                pass
+
+    return wrapped

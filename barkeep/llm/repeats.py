@@ -28,11 +28,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from barkeep.llm.batches import Memo, slices, to_batch
+from barkeep.llm.batches import Memo, slices, tidied, to_batch, unused_names
 from barkeep.scratch import stage
 
 LEAST = 400
 BLOCK = 32
+# Starts whose hashes are held at once, of one text or of several; they take a hundred times their size.
+PIECE = 100_000
 
 _PLACES = pa.schema(
     [("th", pa.binary()), ("sample", pa.int64()), ("at", pa.int32()), ("low", pa.int32()), ("high", pa.int32())]
@@ -116,21 +118,42 @@ def places(hashes, width):
     return at[starts], starts, ends
 
 
+def _filed(raw, least, sample, words):
+    """(hash of the sample, place, first start, last start) of one text of ``least`` or more, piece by piece."""
+    unit = _CODE if words else 1
+    starts, found = len(raw) // unit - least + 1, []
+    for begin in range(0, starts, PIECE):
+        part = raw[begin * unit : (min(starts, begin + PIECE) + least - 1) * unit]
+        hashes = window_hashes(part, sample, words)
+        at, low, high = places(hashes, least - sample + 1)
+        mine = [hashes[at], at + begin, low + begin, high + begin]
+        if found and found[-1][1][-1] == mine[1][0]:
+            # The starts on either side of a cut are filed under one place.
+            mine[2][0] = found[-1][2][-1]
+            found[-1] = [column[:-1] for column in found[-1]]
+        found.append(mine)
+    return [np.concatenate(column) for column in zip(*found)]
+
+
 def _file_strings(batches, least, sample, words):
     unit = _CODE if words else 1
     for batch in batches:
-        # The hashes of a piece take a hundred times its size for a moment.
-        for rows, raws in slices(batch, "text", 400_000):
+        for rows, raws in slices(batch, "text", PIECE):
             keys, out = rows.column("th").to_pylist(), ([], [], [], [], [])
             raws = [word_codes(raw) for raw in raws] if words else raws
-            whole = window_hashes(b"".join(raws) + bytes(sample * unit), sample, words)
+            together = sum(map(len, raws)) <= 2 * PIECE * unit
+            whole = window_hashes(b"".join(raws) + bytes(sample * unit), sample, words) if together else None
             start = 0
             for key, raw in zip(keys, raws):
                 size = len(raw) // unit
                 if size >= least:
-                    hashes = whole[start : start + size - sample + 1]
-                    at, low, high = places(hashes, least - sample + 1)
-                    for column, part in zip(out, ([key] * len(at), hashes[at].view(np.int64), at, low, high)):
+                    if together:
+                        hashes = whole[start : start + size - sample + 1]
+                        at, low, high = places(hashes, least - sample + 1)
+                        filed = (hashes[at], at, low, high)
+                    else:
+                        filed = _filed(raw, least, sample, words)
+                    for column, part in zip(out, ([key] * len(filed[1]), filed[0].view(np.int64), *filed[1:])):
                         column.append(part)
                 start += size
             if out[0]:
@@ -165,6 +188,9 @@ def _blocks_of(batches, least, block, words):
                                cut(at - far, begin), cut(end, at - near + least), at, at - far, at - near)
                         for column, value in zip(out, row):
                             column.append(value)
+                    if len(out[0]) > 20_000:
+                        yield to_batch(_BLOCKS, *out)
+                        out = [[] for _ in _BLOCKS]
             yield to_batch(_BLOCKS, *out)
 
 
@@ -198,7 +224,7 @@ def repeated_spans(texts, least=LEAST, words=False):
     core = least - block + 1
     filed = stage(
         texts.mapInArrow(
-            lambda batches: _file_strings(batches, least, sample, words),
+            tidied(lambda batches: _file_strings(batches, least, sample, words), _codes),
             "th binary, sample long, at int, low int, high int",
         ),
         "filed",
@@ -216,11 +242,13 @@ def repeated_spans(texts, least=LEAST, words=False):
         .groupBy(F.col("th").alias("_th"))
         .agg(F.collect_set(F.struct("at", "sample", "low", "high")).alias("spots"))
     )
+    # One of each text, however many copies it has; tasks send one a text.
+    single = texts.groupBy("th").agg(F.first("text").alias("text"))
     blocks = stage(
-        texts.join(spots.hint("shuffle_hash"), F.col("th") == F.col("_th"))
+        single.join(spots.hint("shuffle_hash"), F.col("th") == F.col("_th"))
         .select("th", "text", "spots")
         .mapInArrow(
-            lambda batches: _blocks_of(batches, least, block, words),
+            tidied(lambda batches: _blocks_of(batches, least, block, words), _codes),
             "th binary, u long, sample long, block int, half long, rest long, "
             "left binary, right binary, at int, low int, high int",
         ),
@@ -264,7 +292,7 @@ def repeated_spans(texts, least=LEAST, words=False):
         .where("one <> other")
         .select(F.col("rank").alias("_rank"), F.col("before").alias("_before"), F.col("outer").alias("_outer"))
     )
-    single = (
+    lone = (
         starts.where("open")
         .join(
             alone,
@@ -281,7 +309,7 @@ def repeated_spans(texts, least=LEAST, words=False):
         .where("n > 1")
         .select("th", F.struct(F.lit(0).alias("begin"), F.lit(2**31 - 1).alias("end")).alias("span"))
     )
-    spans = alike.union(whole).union(single).union(copies)
+    spans = alike.union(whole).union(lone).union(copies)
     return spans.groupBy("th").agg(F.collect_set("span").alias("spans"))
 
 
@@ -310,11 +338,14 @@ def text_hash(column):
 
 
 def _with_spans(docs, text_col, least, words=False):
-    """``docs`` with a column ``_spans``; only texts and hashes are shuffled with other columns."""
-    docs = docs.withColumn("_th", text_hash(F.col(f"`{text_col}`").cast("string")))
-    texts = docs.select(F.col("_th").alias("th"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    spans = repeated_spans(texts, least, words).select(F.col("th").alias("_key"), F.col("spans").alias("_spans"))
-    return docs.join(spans.hint("shuffle_hash"), F.col("_th") == F.col("_key"), "left").drop("_th", "_key")
+    """``docs`` with a last column of spans under an unused name; only texts and hashes are shuffled with other columns."""
+    th, key, spans_col = unused_names(docs, "_th", "_key", "_spans")
+    docs = docs.withColumn(th, text_hash(F.col(f"`{text_col}`").cast("string")))
+    texts = docs.select(F.col(th).alias("th"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    spans = repeated_spans(texts, least, words).select(F.col("th").alias(key), F.col("spans").alias(spans_col))
+    # Staged, so that the join reads plain exchanges and adaptive execution can split the copies of a frequent text.
+    spans = stage(spans, "spans")
+    return docs.join(spans.hint("shuffle_hash"), F.col(th) == F.col(key), "left").drop(th, key)
 
 
 def repeat_digests(docs, least=LEAST, id_col="doc_id", text_col="text"):
@@ -346,7 +377,7 @@ def repeat_digests(docs, least=LEAST, id_col="doc_id", text_col="text"):
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")
     )
     return _with_spans(picked, "text", least).mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+        tidied(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
 
@@ -364,7 +395,7 @@ def remove_repeats(docs, least=LEAST, text_col="text", words=False):
         for batch in batches:
             for rows, raws in slices(batch, text_col):
                 texts = []
-                for raw, spans, text in zip(raws, rows.column("_spans").to_pylist(), rows.column(at)):
+                for raw, spans, text in zip(raws, rows.column(len(columns)).to_pylist(), rows.column(at)):
                     if not spans:
                         texts.append(text.as_py())
                         continue
@@ -386,4 +417,4 @@ def remove_repeats(docs, least=LEAST, text_col="text", words=False):
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    return _with_spans(docs, text_col, least, words).select(*(f"`{c}`" for c in columns), "_spans").mapInArrow(run, schema)
+    return _with_spans(docs, text_col, least, words).mapInArrow(tidied(run), schema)

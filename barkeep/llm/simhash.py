@@ -22,9 +22,10 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from barkeep.llm.batches import pick, slices, to_batch
+from barkeep.llm.batches import pick, slices, tidied, to_batch, unused_names
 from barkeep.llm.components import components
 from barkeep.scratch import stage
 
@@ -352,11 +353,11 @@ def _verified(pairs, heads, own, words):
     rows = own.join(places, F.col("_id").eqNullSafe(F.col("_at")) & (F.col("_th") == F.col("_in")))
     # Rows may repeat with their id.
     rows = rows.dropDuplicates(["_id", "_th"]).select("node", "text")
-    sets = stage(rows.mapInArrow(lambda batches: _sets(batches, words), "node long, shingles binary"), "sets")
+    sets = stage(rows.mapInArrow(tidied(lambda batches: _sets(batches, words)), "node long, shingles binary"), "sets")
     side = lambda end, name: sets.select(F.col("node").alias(end), F.col("shingles").alias(name))
     # Many pairs may share their a: that join comes last, so that adaptive execution can split it.
     both = pairs.join(side("b", "right"), "b").join(side("a", "left"), "a").select("a", "b", "left", "right")
-    return stage(both.mapInArrow(_similar, "a long, b long"), "similar")
+    return stage(both.mapInArrow(tidied(_similar), "a long, b long"), "similar")
 
 
 def near_copies(prints, heads, own, words):
@@ -392,7 +393,7 @@ def near_copies(prints, heads, own, words):
     dealt = placed.join(divided, "key").select("key", "node", "root", F.explode(cells).alias("cell"))
     dealt = dealt.join(heads.select("node", "sketch"), "node").select("key", "cell", "node", "root", "sketch")
     dealt = dealt.repartition("key", "cell").sortWithinPartitions("key", "cell")
-    more = dealt.mapInArrow(_alike, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
+    more = dealt.mapInArrow(tidied(_alike), "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
     return components(linked.union(_verified(stage(more, "more"), heads, own, words)))
 
 
@@ -404,10 +405,12 @@ def drop_near_duplicates(docs, words=WORDS, id_col="doc_id", text_col="text"):
     of rows with that id and text one.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    own = docs.withColumn("_id", F.col(f"`{id_col}`").cast("long")).withColumn("_th", F.md5(F.encode(text, "UTF-8")))
-    texts = own.select("_id", "_th", text.alias("text"))
+    # Names of our own that no column of the documents has.
+    at, th, row = unused_names(docs, "_id", "_th", "_row")
+    own = docs.withColumn(at, F.col(f"`{id_col}`").cast("long")).withColumn(th, F.md5(F.encode(text, "UTF-8")))
+    texts = own.select(F.col(at).alias("_id"), F.col(th).alias("_th"), text.alias("text"))
     prints = texts.mapInArrow(
-        lambda batches: _sketched(batches, words),
+        tidied(lambda batches: _sketched(batches, words)),
         "_id long, _th string, node long, keys array<long>, sketch binary",
     )
     prints = stage(prints, "prints")
@@ -421,8 +424,16 @@ def drop_near_duplicates(docs, words=WORDS, id_col="doc_id", text_col="text"):
         .select(F.col("head._id").alias("_stay_id"), F.col("head._th").alias("_stay_th"))
     )
     stay = stage(stay, "stay")
-    kept = own.join(stay, F.col("_id").eqNullSafe(F.col("_stay_id")) & (F.col("_th") == F.col("_stay_th")))
-    return kept.dropDuplicates(["_id", "_th"]).select(*(f"`{c}`" for c in docs.columns))
+    stay_id, stay_th = unused_names(own, "_stay_id", "_stay_th")
+    stay = stay.toDF(stay_id, stay_th)
+    kept = own.join(stay, F.col(at).eqNullSafe(F.col(stay_id)) & (F.col(th) == F.col(stay_th)))
+    # Of rows with the same id and text, the one whose other columns come first as JSON.
+    columns = [f"`{c}`" for c in docs.columns]
+    others = [f"`{c}`" for c in docs.columns if c not in (id_col, text_col)]
+    kept = kept.withColumn(row, F.to_json(F.struct(*others)) if others else F.lit(""))
+    first = Window.partitionBy(at, th).orderBy(row)
+    (rank,) = unused_names(kept, "_rank")
+    return kept.withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).select(*columns)
 
 
 def fingerprint_text(column="fp"):

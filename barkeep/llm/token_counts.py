@@ -7,12 +7,17 @@ over a piece gives the exact count at each of its prefixes. Pieces are the vocab
 own pre-tokens, which merge independently; their tables are remembered per worker.
 
 Null texts count as empty. A count at a prefix is the count of encoding just that prefix.
+
+``token_counts`` answers one limit as it goes. ``stored_counts`` keeps the counts instead: a row per text with the ends of
+its pieces, the count at each, and the counts inside pieces of more than one token. ``answered`` reads
+truncation and budget questions off them, for any number of limits, without the texts.
 """
 
 import json
 from bisect import bisect_right
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import regex
 
@@ -275,3 +280,92 @@ def token_counts(docs, vocabulary="byte_bpe_50k.json", limit=512, id_col="doc_id
                 )
 
     return pick(docs, id_col, text_col).mapInArrow(run, SCHEMA)
+
+
+STORED = "doc_id long, n_bytes long, ends array<int>, counts array<int>, inner array<binary>"
+
+
+def _stored_pieces(known, text):
+    """(end, count, inner) of each piece: bytes and tokens up to its end; where its own tokens are spent, as bytes.
+
+    Entry k of ``inner`` is the longest prefix of the piece, of whole characters, that takes k + 1 tokens at most.
+    A special token is a piece that takes one token.
+    """
+    end = count = 0
+    for part, special in known.segments(text):
+        for piece in known.pieces.findall(part):
+            raw = piece.encode()
+            table = known.table(raw)
+            spent = [0] * max(0, table[-1] - 1)
+            for i, n in enumerate(table[:-1]):
+                if n and raw[i] & 0xC0 != 0x80:
+                    for k in range(n - 1, len(spent)):
+                        spent[k] = i
+            end, count = end + len(raw), count + table[-1]
+            yield end, count, np.array(spent, "<u4").tobytes() if spent else None
+        if special:
+            end += len(known.split.match(text.encode()[end:].decode()).group().encode())
+            count += 1
+            yield end, count, None
+
+
+def stored_counts(docs, vocabulary="byte_bpe_50k.json", id_col="doc_id", text_col="text"):
+    """One row per row of ``docs`` with its counts, to be written once and asked by ``answered``."""
+    schema = pa.schema(
+        [
+            ("doc_id", pa.int64()),
+            ("n_bytes", pa.int64()),
+            ("ends", pa.list_(pa.int32())),
+            ("counts", pa.list_(pa.int32())),
+            ("inner", pa.list_(pa.binary())),
+        ]
+    )
+
+    def run(batches):
+        known = counter(tokenizer_file(vocabulary))
+        for batch in batches:
+            for rows, raws in slices(batch, "text", 500_000):
+                found = [list(_stored_pieces(known, raw.decode("utf-8", "replace"))) for raw in raws]
+                columns = [[[piece[k] for piece in pieces] for pieces in found] for k in range(3)]
+                yield to_batch(schema, rows.column("doc_id"), [len(raw) for raw in raws], *columns)
+
+    return pick(docs, id_col, text_col).mapInArrow(run, STORED)
+
+
+def answered(stored, limits):
+    """A row per row of ``stored`` and limit: ``doc_id``, ``n_tokens``, ``token_limit``, ``over_limit``, ``bytes_within_limit``."""
+    schema = pa.schema(
+        [
+            ("doc_id", pa.int64()),
+            ("n_tokens", pa.int64()),
+            ("token_limit", pa.int64()),
+            ("over_limit", pa.bool_()),
+            ("bytes_within_limit", pa.int64()),
+        ]
+    )
+
+    def within(ends, counts, inner, limit):
+        k = bisect_right(counts, limit)
+        if k == len(counts):
+            return ends[-1] if ends else 0
+        done, used = (ends[k - 1], counts[k - 1]) if k else (0, 0)
+        room = limit - used
+        if room < 1 or inner[k] is None:
+            return done
+        return done + int(np.frombuffer(inner[k], "<u4")[room - 1])
+
+    def run(batches):
+        for batch in batches:
+            out = [[] for _ in schema]
+            columns = (batch.column(c).to_pylist() for c in ("doc_id", "ends", "counts", "inner"))
+            for doc_id, ends, counts, inner in zip(*columns):
+                n = counts[-1] if counts else 0
+                for limit in limits:
+                    row = (doc_id, n, limit, n > limit, within(ends, counts, inner, limit))
+                    for column, value in zip(out, row):
+                        column.append(value)
+            yield to_batch(schema, *out)
+
+    return stored.mapInArrow(
+        run, "doc_id long, n_tokens long, token_limit long, over_limit boolean, bytes_within_limit long"
+    )

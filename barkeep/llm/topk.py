@@ -9,12 +9,12 @@ blocks yields k rows a query at most; a window keeps the k best overall.
 
 Vectors that are null, or have a null or non-finite component, or no id, take no part;
 neither do vectors of another length than the query's. Repeated candidate rows count as rows,
-repeated queries as one; a query never meets rows of its own id. Scores must fit a long.
+repeated queries as one; a query never meets rows of its own id, as these cannot be told from its own row.
+A scaled component beyond 2^53, or a pair of vectors whose score might not fit a long, is an error.
 """
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -23,7 +23,10 @@ from barkeep.scratch import stage
 
 CANDIDATES, QUERIES, STEP = 4096, 512, 16
 
-_PACKED = pa.schema([("dims", pa.int32()), ("ids", pa.binary()), ("values", pa.binary())])
+# Components beyond this are no longer counted exactly by the whole numbers of a double.
+LARGEST = 2.0**53
+
+_PACKED = pa.schema([("dims", pa.int32()), ("ids", pa.binary()), ("keys", pa.binary()), ("values", pa.binary())])
 _FOUND = pa.schema(
     [("query_id", pa.int64()), ("query_key", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())]
 )
@@ -33,11 +36,15 @@ def quantized(vectors, scale=64, id_col="vec_id", vector_col="embedding"):
     """``vec_id`` and whole-numbered ``v`` of the vectors that take part."""
     x = F.col(f"`{vector_col}`").cast("array<double>")
     finite = lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))
-    return (
+    complaint = F.lit(f"a component times {scale} is beyond 2^53")
+    whole = lambda e: F.when(F.abs(e * scale) <= LARGEST, F.floor(e * scale)).otherwise(F.raise_error(complaint))
+    rows = (
         vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), x.alias("x"))
         .where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & F.forall("x", finite))
-        .select("vec_id", F.transform("x", lambda e: F.floor(e * scale)).alias("v"))
+        .select("vec_id", F.transform("x", whole).alias("v"))
     )
+    # Tells queries of one id apart, whatever numbers a block is computed in.
+    return rows.withColumn("key", F.xxhash64("v"))
 
 
 def _packed(vectors, size, label):
@@ -49,15 +56,15 @@ def _packed(vectors, size, label):
             dims = np.diff(lists.offsets.to_numpy())
             flat = lists.flatten().to_numpy()
             starts = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
-            ids = batch.column("vec_id").to_numpy()
+            ids, keys = batch.column("vec_id").to_numpy(), batch.column("key").to_numpy()
             for d in np.unique(dims):
                 rows = np.flatnonzero(dims == d)
                 for part in np.split(rows, range(size, len(rows), size)):
                     values = flat[starts[part][:, None] + np.arange(d)] if d else np.empty((len(part), 0), np.int64)
                     raw = np.ascontiguousarray(values.T).tobytes()
-                    yield to_batch(_PACKED, [d], [ids[part].tobytes()], [raw])
+                    yield to_batch(_PACKED, [d], [ids[part].tobytes()], [keys[part].tobytes()], [raw])
 
-    packed = vectors.mapInArrow(run, "dims int, ids binary, values binary")
+    packed = vectors.mapInArrow(run, "dims int, ids binary, keys binary, values binary")
     return stage(packed.withColumn("part", F.monotonically_increasing_id()), label)
 
 
@@ -66,7 +73,7 @@ def _best(query, own, candidates, ids, rest, k, step, seeds):
     d, n = candidates.shape
     # Lengths of the query beyond each step, a little enlarged so that rounding never drops a row.
     edges = list(range(0, d, step)) + [d]
-    lengths = [np.sqrt((query[e:] ** 2).sum()) * (1 + 1e-9) for e in edges]
+    lengths = [np.sqrt((query[e:].astype(np.float64) ** 2).sum()) * (1 + 1e-9) for e in edges]
     place = np.flatnonzero(ids != own)
     bound = -np.inf
     if len(place) > 4 * k and len(seeds):
@@ -74,7 +81,8 @@ def _best(query, own, candidates, ids, rest, k, step, seeds):
         first = first[ids[seeds] != own]
         if len(first) >= k:
             bound = np.partition(first, len(first) - k)[len(first) - k]
-    score = np.zeros(len(place))
+    # In the query's own numbers: beyond 2^53 doubles would round.
+    score = np.zeros(len(place), query.dtype)
     for number, (low, high) in enumerate(zip(edges, edges[1:])):
         part = candidates[low:high] if len(place) == n else candidates[low:high, place]
         score = score + query[low:high] @ part
@@ -83,7 +91,7 @@ def _best(query, own, candidates, ids, rest, k, step, seeds):
             if len(place) > k:
                 floor = score - slack
                 bound = max(bound, np.partition(floor, len(floor) - k)[len(floor) - k])
-            stays = score + slack >= bound - 0.25
+            stays = score + slack >= bound - 0.25 - abs(bound) * 1e-14
             place, score = place[stays], score[stays]
     order = np.lexsort((ids[place], -score))[:k]
     return place[order], score[order]
@@ -101,9 +109,12 @@ def top_k(vectors, queries, k=20, scale=64, id_col="vec_id", vector_col="embeddi
         F.explode(F.sequence(F.lit(1), F.lit(max(1, blocks)))).alias("block"),
         "dims",
         F.col("ids").alias("query_ids"),
+        F.col("keys").alias("query_keys"),
         F.col("values").alias("queries"),
     )
-    pairs = met.join(rows.hint("shuffle_hash"), ["block", "dims"]).select("dims", "ids", "values", "query_ids", "queries")
+    pairs = met.join(rows.hint("shuffle_hash"), ["block", "dims"]).select(
+        "dims", "ids", "values", "query_ids", "query_keys", "queries"
+    )
 
     def run(batches):
         for batch in batches:
@@ -121,7 +132,7 @@ def top_k(vectors, queries, k=20, scale=64, id_col="vec_id", vector_col="embeddi
 
 def _search(pair, k):
     d = pair["dims"]
-    ids, own = (np.frombuffer(pair[c], np.int64) for c in ("ids", "query_ids"))
+    ids, own, keys = (np.frombuffer(pair[c], np.int64) for c in ("ids", "query_ids", "query_keys"))
     whole, asked = (np.frombuffer(pair[c], np.int64).reshape(d, -1) for c in ("values", "queries"))
     kind = np.float64
     if d and float(np.abs(whole).max()) * float(np.abs(asked).max()) * d >= 2**52:
@@ -130,12 +141,15 @@ def _search(pair, k):
     squares = columns.astype(np.float64) ** 2
     edges = list(range(0, d, STEP)) + [d]
     rest = [np.sqrt(squares[e:].sum(axis=0)) * (1 + 1e-9) for e in edges]
+    longest = np.sqrt((asked.astype(np.float64) ** 2).sum(axis=1).max(initial=0))
+    if longest * rest[0].max(initial=0) >= 2.0**63:
+        raise ValueError("the score of two vectors may not fit a long")
     seeds = np.argsort(-rest[0])[: 4 * k]
     out = [[], [], [], []]
-    for query, own_id in zip(asked, own.tolist()):
+    for query, own_id, key in zip(asked, own.tolist(), keys.tolist()):
         place, score = _best(query, own_id, columns, ids, rest, k, STEP, seeds)
         out[0].append(np.full(len(place), own_id))
-        out[1].append(np.full(len(place), xxhash.xxh3_64_intdigest(query.tobytes()) - (1 << 63)))
+        out[1].append(np.full(len(place), key))
         out[2].append(ids[place])
         out[3].append(np.rint(score).astype(np.int64) if kind is np.float64 else score.astype(np.int64))
     arrays = [pa.array(np.concatenate(c).astype(np.int64)) for c in out]
