@@ -302,58 +302,92 @@ def _sets(batches, words):
             yield to_batch(schema, rows.column("node"), [shingle_set(raw, words).tobytes() for raw in raws])
 
 
-def _similar(batches):
+def _are_similar(left, right):
     part, of = SIMILAR
+    both = len(np.intersect1d(left, right, assume_unique=True))
+    return of * both >= part * (len(left) + len(right) - both)
+
+
+def _similar(batches):
     for batch in batches:
         good = []
         for left, right in zip(batch.column("left"), batch.column("right")):
-            left, right = (np.frombuffer(x.as_buffer(), np.uint64) for x in (left, right))
-            both = len(np.intersect1d(left, right, assume_unique=True))
-            good.append(of * both >= part * (len(left) + len(right) - both))
+            good.append(_are_similar(*(np.frombuffer(x.as_buffer(), np.uint64) for x in (left, right))))
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
+def _cell_links(band, node, root, keys, shown, sets):
+    """Links between similar sets of a cell that join its roots as all links between them would.
+
+    A pair is looked at in the first band that it shares only, and compared in whole where its roots
+    are not joined yet. So a cell gives fewer links than it has sets.
+    """
+    joined, found = {}, []
+
+    def find(x):
+        while x in joined:
+            x = joined[x]
+        return x
+
+    roots, counts = np.unique(root, return_counts=True)
+    for i in np.flatnonzero(root != roots[counts.argmax()]):
+        maybe = np.flatnonzero((np.count_nonzero(shown == shown[i], axis=1) >= ALIKE) & (root != root[i]))
+        earlier = (keys[maybe, :band] == keys[i, :band]).any(axis=1)
+        for j in maybe[~earlier]:
+            a, b = find(int(root[i])), find(int(root[j]))
+            if a != b and _are_similar(sets(i), sets(j)):
+                joined[a] = b
+                found.append((node[i], node[j]))
+    return found
+
+
 def _alike(batches):
-    """Pairs within runs of equal (key, cell) of different roots whose sketches agree on ``ALIKE`` places."""
+    """Links within runs of equal (band, key, cell), see ``_cell_links``."""
     held = []
 
-    def pairs(rows):
-        key, cell, node, root = (rows.column(c).to_numpy() for c in ("key", "cell", "node", "root"))
+    def links_of(rows):
+        band, key, cell, node, root = (rows.column(c).to_numpy() for c in ("band", "key", "cell", "node", "root"))
         shown = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(key), -1)
-        starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])]))
-        lefts, rights = [], []
+        keys = rows.column("keys").flatten().to_numpy().reshape(len(key), -1)
+        column = rows.column("shingles")
+        fresh = (band[1:] != band[:-1]) | (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])
+        starts, found = np.flatnonzero(np.concatenate([[True], fresh])), []
         for at, end in zip(starts, [*starts[1:], len(key)]):
-            roots, counts = np.unique(root[at:end], return_counts=True)
-            for i in np.flatnonzero(root[at:end] != roots[counts.argmax()]) + at:
-                agree = np.count_nonzero(shown[at:end] == shown[i], axis=1)
-                found = node[at:end][(agree >= ALIKE) & (root[at:end] != root[i])]
-                lefts.append(np.minimum(found, node[i]))
-                rights.append(np.maximum(found, node[i]))
-        a, b = (np.concatenate(side) if side else np.empty(0, np.int64) for side in (lefts, rights))
-        return to_batch(_LINKS, pa.array(a), pa.array(b))
+            sets = lambda i, at=at: np.frombuffer(column[int(at + i)].as_buffer(), np.uint64)
+            found += _cell_links(band[at], node[at:end], root[at:end], keys[at:end], shown[at:end], sets)
+        return to_batch(_LINKS, [int(a) for a, _ in found], [int(b) for _, b in found])
+
+    def whole(batches):
+        return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
     for batch in batches:
         held.append(batch)
-        if sum(b.num_rows for b in held) < 20_000:
+        if sum(b.num_rows for b in held) < 5_000:
             continue
-        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        key, cell = rows.column("key").to_numpy(), rows.column("cell").to_numpy()
-        keep = int(np.flatnonzero((key == key[-1]) & (cell == cell[-1]))[0])
+        rows = whole(held)
+        last = [rows.column(c).to_numpy() for c in ("band", "key", "cell")]
+        same = np.logical_and.reduce([c == c[-1] for c in last])
+        keep = int(np.flatnonzero(same)[0])
         if keep:
-            yield pairs(rows.slice(0, keep))
+            yield links_of(rows.slice(0, keep))
         held = [rows.slice(keep)]
     if sum(b.num_rows for b in held):
-        yield pairs(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+        yield links_of(whole(held))
 
 
-def _verified(pairs, heads, own, words):
-    """The ``pairs`` (a, b) of sets that are similar, by their whole sets."""
-    used = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    places = heads.join(used, "node").select("node", F.col("head._id").alias("_at"), F.col("head._th").alias("_in"))
+def _sets_of(nodes, heads, own, words):
+    """(node, shingles): the whole sets of ``nodes``, one text read for each."""
+    places = heads.join(nodes, "node").select("node", F.col("head._id").alias("_at"), F.col("head._th").alias("_in"))
     rows = own.join(places, F.col("_id").eqNullSafe(F.col("_at")) & (F.col("_th") == F.col("_in")))
     # Rows may repeat with their id.
     rows = rows.dropDuplicates(["_id", "_th"]).select("node", "text")
-    sets = stage(rows.mapInArrow(tidied(lambda batches: _sets(batches, words)), "node long, shingles binary"), "sets")
+    return stage(rows.mapInArrow(tidied(lambda batches: _sets(batches, words)), "node long, shingles binary"), "sets")
+
+
+def _verified(pairs, heads, own, words):
+    """The ``pairs`` (a, b) of sets that are similar, by their whole sets."""
+    used = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = _sets_of(used, heads, own, words)
     side = lambda end, name: sets.select(F.col("node").alias(end), F.col("shingles").alias(name))
     # Many pairs may share their a: that join comes last, so that adaptive execution can split it.
     both = pairs.join(side("b", "right"), "b").join(side("a", "left"), "a").select("a", "b", "left", "right")
@@ -363,26 +397,27 @@ def _verified(pairs, heads, own, words):
 def near_copies(prints, heads, own, words):
     """(node, root) of the sets that have a link: pairs with a Jaccard similarity of 0.8 or more.
 
-    First each set is held against the least one of each band it shares; then, of sets that
-    share a band and are not yet connected, all pairs whose sketches do not rule them out.
+    First each set is held against the least one of each band it shares. Bands whose sets are not yet
+    connected by that are searched in whole, and each gives links enough to connect what is similar in it.
     """
-    entries = prints.select("node", F.explode("keys").alias("key"))
+    entries = prints.select("node", F.posexplode("keys").alias("band", "key"))
     shared = stage(
-        entries.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("other")).where("least <> other"),
+        entries.groupBy("band", "key").agg(F.min("node").alias("least"), F.max("node").alias("other")).where("least <> other"),
         "shared",
     )
-    members = stage(entries.distinct().join(shared, "key").select("key", "node", "least"), "members")
+    members = entries.distinct().join(shared, ["band", "key"]).select("band", "key", "node", "least")
+    members = stage(members, "members")
     stars = members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
     stars = stage(stars.distinct(), "stars")
     linked = _verified(stars, heads, own, words)
     roots = components(linked)
-    placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    placed = members.join(roots, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("root"))
     placed = stage(placed, "placed")
     divided = stage(
-        placed.groupBy("key")
+        placed.groupBy("band", "key")
         .agg(F.min("root").alias("one"), F.max("root").alias("other"), F.count("*").alias("n"))
         .where("one <> other")
-        .select("key", F.ceil(F.col("n") / CELL).cast("int").alias("side")),
+        .select("band", "key", F.ceil(F.col("n") / CELL).cast("int").alias("side")),
         "divided",
     )
     # A band with very many sets is spread over a grid of cells that together hold each of its pairs.
@@ -390,11 +425,16 @@ def near_copies(prints, heads, own, words):
     cells = F.transform(
         F.sequence(F.lit(0), F.col("side") - 1), lambda i: F.least(lane, i) * F.col("side") + F.greatest(lane, i)
     )
-    dealt = placed.join(divided, "key").select("key", "node", "root", F.explode(cells).alias("cell"))
-    dealt = dealt.join(heads.select("node", "sketch"), "node").select("key", "cell", "node", "root", "sketch")
-    dealt = dealt.repartition("key", "cell").sortWithinPartitions("key", "cell")
-    more = dealt.mapInArrow(tidied(_alike), "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
-    return components(linked.union(_verified(stage(more, "more"), heads, own, words)))
+    dealt = stage(
+        placed.join(divided, ["band", "key"]).select("band", "key", "node", "root", F.explode(cells).alias("cell")), "dealt"
+    )
+    sets = _sets_of(dealt.select("node").distinct(), heads, own, words)
+    shown = heads.select("node", "sketch", "keys").join(sets, "node")
+    dealt = dealt.join(stage(shown, "shown"), "node")
+    dealt = dealt.repartition("band", "key", "cell").sortWithinPartitions("band", "key", "cell", "node")
+    columns = ("band", "key", "cell", "node", "root", "sketch", "keys", "shingles")
+    more = stage(dealt.select(*columns).mapInArrow(tidied(_alike), "a long, b long"), "more")
+    return components(linked.union(more))
 
 
 def drop_near_duplicates(docs, words=WORDS, id_col="doc_id", text_col="text"):
@@ -415,7 +455,8 @@ def drop_near_duplicates(docs, words=WORDS, id_col="doc_id", text_col="text"):
     )
     prints = stage(prints, "prints")
     first = F.struct(F.col("_id").isNull().alias("none"), "_id", "_th")
-    heads = prints.groupBy("node").agg(F.min(first).alias("head"), F.max("sketch").alias("sketch"))
+    heads = prints.groupBy("node").agg(F.min(first).alias("head"), F.max(F.struct("sketch", "keys")).alias("shown"))
+    heads = heads.select("node", "head", "shown.sketch", "shown.keys")
     heads = stage(heads, "heads")
     rooted = heads.select("node", "head").join(near_copies(prints, heads, texts, words), "node", "left")
     stay = (
