@@ -165,6 +165,8 @@ def _isolated(spark, items, mode, one_header):
         yield _read(spark, items, mode, one_header), None
         return
     except (PySparkException, Py4JJavaError, ValueError) as problem:
+        if spark.sparkContext._jsc.sc().isStopped():
+            raise  # the cluster is lost, not a range
         if len(items) == 1:
             yield items[0], str(problem).strip().split("\n")[0]
             return
