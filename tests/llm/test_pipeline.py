@@ -12,9 +12,9 @@ from barkeep.llm.queries import QUERIES
 SF_DIR = "/root/testdata/sf0.001"
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= names and set(ORACLE) <= set(entry.oracle_sql())
 
 
