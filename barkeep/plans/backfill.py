@@ -20,9 +20,10 @@ from barkeep.operators.normalize import (
     normalize_text,
     normalize_typed,
 )
-from barkeep.schema import FILE_DAY
+from barkeep.schema import FILE_DAY, FINISHED
 from barkeep.scratch import stage
 from barkeep.sinks.tables import OVERWRITE_PARTITIONS, create_bars_table, write_table
+from barkeep.sources.ledger import file_versions
 from barkeep.sources.raw_files import (
     comparable,
     full_path,
@@ -71,8 +72,8 @@ def _outermost(items):
     return [i.input_path for i in kept]
 
 
-def _files_by_range(spark, items, roots):
-    """(path, range_id, start_date, end_date): the files below each range's path."""
+def _by_range(spark, items, files):
+    """``files`` (with ``path``) once for each range below whose path they lie, with range_id, start_date and end_date."""
     ranges = spark.createDataFrame(
         [(i.range_id, i.start_date, i.end_date, i.root) for i in items],
         "range_id int, start_date date, end_date date, root string",
@@ -81,8 +82,12 @@ def _files_by_range(spark, items, roots):
     above = F.transform(
         F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/")
     )
-    files = list_files(spark, roots).select("path", F.explode(above).alias("root"))
-    return files.join(ranges, "root").drop("root")
+    return files.withColumn("root", F.explode(above)).join(ranges, "root").drop("root")
+
+
+def _files_by_range(spark, items, roots):
+    """(path, range_id, start_date, end_date): the files below each range's path."""
+    return _by_range(spark, items, list_files(spark, roots).select("path"))
 
 
 def backfill(spark, ranges, table, mode=PERMISSIVE, one_header=True):
@@ -97,11 +102,7 @@ def backfill(spark, ranges, table, mode=PERMISSIVE, one_header=True):
     """
     if mode not in (PERMISSIVE, STRICT):
         raise ValueError(f"unknown parse mode: {mode}")
-    # The work list is control data: the driver needs its paths to plan the scan.
-    items = [
-        _Item(r.range_id, r.input_path, r.start_date, r.end_date, full_path(spark, r.input_path))
-        for r in ranges.collect()
-    ]
+    items = _items(spark, ranges)
     create_bars_table(spark, table)
     present = [i for i in items if path_exists(spark, i.input_path)]
 
@@ -136,6 +137,14 @@ def backfill(spark, ranges, table, mode=PERMISSIVE, one_header=True):
     return spark.createDataFrame(results, RESULT)
 
 
+def _items(spark, ranges):
+    # The work list is control data: the driver needs its paths to plan the scan.
+    return [
+        _Item(r.range_id, r.input_path, r.start_date, r.end_date, full_path(spark, r.input_path))
+        for r in ranges.collect()
+    ]
+
+
 @dataclass(frozen=True)
 class _Read:
     rows: DataFrame
@@ -211,3 +220,77 @@ def _share_days(items):
 def _last_range_per_day(bars):
     owners = bars.groupBy("trade_date").agg(F.max("range_id").alias("range_id"))
     return bars.join(owners, ["trade_date", "range_id"], "left_semi")
+
+
+def create_finished_table(spark, finished, location=None):
+    """The table that remembers finished ranges, if it does not exist yet."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in FINISHED)
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {finished} ({columns}) USING parquet{where}")
+
+
+def _states(spark, items, mode):
+    """What a range was asked for and found, per range_id: its days, and every file version below its path."""
+    present = [i for i in items if path_exists(spark, i.input_path)]
+    versions = {}
+    if present:
+        files = file_versions(spark, _outermost(present)).drop("path").withColumnRenamed("uri", "path")
+        of_file = F.xxhash64("path", "length", "modified")
+        # Sums and exclusive ors do not depend on the order: no list of files is gathered.
+        per_range = _by_range(spark, present, files).groupBy("range_id").agg(
+            F.count("*").alias("files"), F.bit_xor(of_file).alias("one"), F.bit_xor(F.xxhash64(of_file)).alias("two")
+        )
+        versions = {r.range_id: f"{r.files} {r.one} {r.two}" for r in per_range.collect()}
+    return {
+        i.range_id: f"{i.root} {i.start_date} {i.end_date} {mode} {versions.get(i.range_id, 'none')}" for i in items
+    }
+
+
+def _unfinished(items, states, done):
+    """Ranges to be loaded, in order: those not finished, and later ones that share a day with such a range."""
+    left = []
+    for i in sorted(items, key=lambda i: i.range_id):
+        shares = any(i.start_date <= j.end_date and j.start_date <= i.end_date for j in left)
+        if shares or states[i.range_id] not in done:
+            left.append(i)
+    return left
+
+
+def resumable_backfill(spark, ranges, table, finished, mode=PERMISSIVE, one_header=True, at_once=12):
+    """``backfill`` in groups of ``at_once`` ranges, each noted in the table ``finished`` after its write.
+
+    Begun again with the same list, after it broke off or after files came, were replaced or went, it loads
+    only what is not finished: ranges that failed, ranges with other files or days than before,
+    and, as the last good range decides a day, the later ranges that share a day with one of these.
+    Use one ``finished`` table for each table. Returns the rows of ``backfill`` for all ranges; ``resumed`` marks
+    those left out because they were finished.
+    """
+    if at_once < 1:
+        raise ValueError("a group needs a range")
+    create_finished_table(spark, finished)
+    create_bars_table(spark, table)
+    items = _items(spark, ranges)
+    states = _states(spark, items, mode)
+    asked = spark.createDataFrame([(s,) for s in states.values()], "state string")
+    known = spark.table(finished).join(asked, "state", "left_semi")
+    known = known.groupBy("state").agg(F.max_by(F.struct("files", "bars"), "finished_at").alias("found"))
+    done = {r.state: r.found for r in known.collect()}
+    left = _unfinished(items, states, done)
+    results = [
+        (i.range_id, i.input_path, i.start_date, i.end_date, SUCCEEDED, found.files, found.bars, 0, None, True)
+        for i in items
+        if i not in left
+        for found in [done[states[i.range_id]]]
+    ]
+    for at in range(0, len(left), at_once):
+        group = left[at : at + at_once]
+        listed = [(i.range_id, i.input_path, i.start_date, i.end_date) for i in group]
+        listed = spark.createDataFrame(listed, "range_id int, input_path string, start_date date, end_date date")
+        loaded = backfill(spark, listed, table, mode, one_header).collect()
+        results += [(*r, False) for r in loaded]
+        good = [(states[r.range_id], r.files, r.bars) for r in loaded if r.status == SUCCEEDED]
+        if good:
+            rows = spark.createDataFrame(good, "state string, files long, bars long")
+            rows = rows.withColumn("finished_at", F.current_timestamp()).coalesce(1)
+            rows.write.mode("append").insertInto(finished)
+    return spark.createDataFrame(results, T.StructType([*RESULT, T.StructField("resumed", T.BooleanType())]))

@@ -72,3 +72,23 @@ LEDGER = T.StructType(
         T.StructField("recorded_at", T.TimestampType()),
     ]
 )
+
+# Rows set aside by a checked load, see plans.quarantine.
+QUARANTINE = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("row", T.StringType()),
+        T.StructField("reasons", T.ArrayType(T.StringType())),
+        T.StructField(FILE_DAY, T.DateType()),
+    ]
+)
+
+# A range of a resumable backfill that has been written, see plans.backfill.
+FINISHED = T.StructType(
+    [
+        T.StructField("state", T.StringType()),
+        T.StructField("files", T.LongType()),
+        T.StructField("bars", T.LongType()),
+        T.StructField("finished_at", T.TimestampType()),
+    ]
+)

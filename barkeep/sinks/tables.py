@@ -89,10 +89,10 @@ def create_file_days_table(spark, table, location=None):
     _create(spark, table, FILE_DAYS, location, "month")
 
 
-def drop_days(spark, table, days, at_once=500):
+def drop_days(spark, table, days, column="trade_date", at_once=500):
     """Drop the partitions of ``days``, where they exist. The files of an external table stay behind, unseen."""
     for i in range(0, len(days), at_once):
-        listed = ", ".join(f"PARTITION (trade_date = DATE'{day}')" for day in days[i : i + at_once])
+        listed = ", ".join(f"PARTITION ({column} = DATE'{day}')" for day in days[i : i + at_once])
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {listed}")
 
 

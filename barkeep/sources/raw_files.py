@@ -126,14 +126,15 @@ def _fail_for(spark, path, header=None):
 
 
 def scan_text(
-    spark, path, days=None, slack_days=0, one_header=False, with_path=False
+    spark, path, days=None, slack_days=0, one_header=False, with_path=False, broken=None
 ):
     """Raw rows as text, columns bound by the name in each file's own header.
 
     Extra columns are ignored, short rows are filled with NULL. Files are grouped
     by header line first, because one CSV scan binds all its files alike. Pass
     ``one_header`` where all files are known to share a header: that saves the
-    header pass, and a file that differs fails the query.
+    header pass, and a file that differs fails the query. ``broken`` names a column that gets the
+    whole line where its cells are too few or too many, and is null elsewhere.
     """
     listing = list_files(spark, path, days, slack_days)
     if one_header:
@@ -141,7 +142,7 @@ def scan_text(
         columns = _text_reader(spark).csv(first).columns if first else RAW_COLUMNS
         if set(RAW_COLUMNS) - set(columns):
             _fail_for(spark, first, columns)
-        return _text_rows(spark, path, columns, days, slack_days, with_path)
+        return _text_rows(spark, path, columns, days, slack_days, with_path, broken)
 
     found = stage(file_headers(spark, path, days, slack_days), "headers")
     bare = listing.join(found, "path", "left_anti").agg(F.min("path").alias("path")).first().path
@@ -150,12 +151,12 @@ def scan_text(
     headers = sorted(r.header for r in found.select("header").distinct().collect())
     if len(headers) < 2:
         columns = _cells(spark, headers[0]) if headers else RAW_COLUMNS
-        return _text_rows(spark, path, columns, days, slack_days, with_path)
+        return _text_rows(spark, path, columns, days, slack_days, with_path, broken)
     # Only where headers differ must the driver name the files of each to its scan.
     parts = []
     for header in headers:
         files = [r.path for r in found.filter(F.col("header") == header).select("path").collect()]
-        parts.append(_text_rows(spark, files, _cells(spark, header), None, 0, with_path))
+        parts.append(_text_rows(spark, files, _cells(spark, header), None, 0, with_path, broken))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -177,13 +178,14 @@ def _text_schema(columns):
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def _text_rows(spark, path, columns, days, slack_days, with_path):
-    rows = (
-        _text_reader(spark).schema(_text_schema(columns)).option("enforceSchema", False).csv(path)
-    )
+def _text_rows(spark, path, columns, days, slack_days, with_path, broken=None):
+    reader, extra = _text_reader(spark).option("enforceSchema", False), [broken] if broken else []
+    if broken:
+        reader = reader.option("columnNameOfCorruptRecord", broken)
+    rows = reader.schema(_text_schema([*columns, *extra])).csv(path)
     if days is not None:
         rows = rows.filter(within_file_days(days, slack_days))
-    return rows.select(*RAW_COLUMNS, *_origin(with_path))
+    return rows.select(*RAW_COLUMNS, *extra, *_origin(with_path))
 
 
 def _on_file_system(spark, path):

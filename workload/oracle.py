@@ -282,5 +282,36 @@ GROUP BY request, start_date, end_date
     "profile_inferred": """
 SELECT event_type, count(*) AS rows, CAST(sum(user_id) AS BIGINT) AS users
 FROM events GROUP BY event_type
+""",
+    "metrics_bucketed": ALL_METRICS,
+    "bars_keyed_stream": ALL_BARS,
+    "bars_quarantined": BARS
+    + """
+, good AS (
+  SELECT *, row_number() OVER (
+           PARTITION BY ticker, trade_date
+           ORDER BY window_start DESC, transactions DESC, volume DESC,
+                    high DESC, low DESC, open DESC, close DESC) AS place
+  FROM normalized WHERE volume >= 5 AND NOT open > 50000
+)
+SELECT 'GOOD' AS status, trade_date AS file_day, ticker, window_start, transactions, NULL AS reasons
+FROM good WHERE place = 1
+UNION ALL
+SELECT 'BAD', trade_date, CASE WHEN NOT open > 50000 THEN lower(ticker) END, window_start, transactions,
+       concat_ws('; ', CASE WHEN open > 50000 THEN 'ticker: missing' END,
+                 CASE WHEN volume < 5 THEN 'volume: cannot read n/a' END)
+FROM normalized WHERE volume < 5 OR open > 50000
+""",
+    "backfill_resumed": BARS
+    + MONTHS
+    + f"""
+SELECT CAST(date_trunc('month', r.start_date) AS DATE) AS month,
+       CASE WHEN count(n.ticker) > 0 THEN 'SUCCEEDED' ELSE 'FAILED' END AS status,
+       count(n.ticker) AS bars,
+       r.end_date < DATE '{FIRST}' AS resumed,
+       count(DISTINCT n.ticker || ' ' || n.trade_date) AS loaded
+FROM ranges r LEFT JOIN normalized n ON n.trade_date BETWEEN r.start_date AND r.end_date
+GROUP BY r.start_date, r.end_date
 """,
 }
+ORACLE["metrics_versions"] = ORACLE["metrics_upsert"]

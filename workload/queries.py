@@ -19,7 +19,7 @@ from barkeep.operators import counters, manifest, merge, profile
 from barkeep.operators.extremes import range_extremes
 from barkeep.operators.normalize import normalize_text, normalize_typed
 from barkeep.operators.ranges import count_by_range
-from barkeep.plans.backfill import backfill
+from barkeep.plans.backfill import backfill, resumable_backfill
 from barkeep.plans.daily import daily_update
 from barkeep.plans.load import (
     bars_from_raw,
@@ -30,7 +30,8 @@ from barkeep.plans.load import (
     staged_text,
 )
 from barkeep.plans.metrics import update_metrics
-from barkeep.schema import RAW_COLUMNS
+from barkeep.plans.quarantine import load_checked
+from barkeep.schema import METRICS, RAW_COLUMNS
 from barkeep.scratch import fresh_dir
 from barkeep.sinks.relational import read_relational
 from barkeep.sinks.tables import (
@@ -42,6 +43,13 @@ from barkeep.sinks.tables import (
     write_table,
 )
 from barkeep.sinks.upsert import upsert_table
+from barkeep.sinks.versions import (
+    compact,
+    create_current_view,
+    create_versioned_table,
+    current_rows,
+    upsert_version,
+)
 from barkeep.sources.raw_files import (
     list_files,
     monthly_ranges,
@@ -53,6 +61,7 @@ from barkeep.sources.raw_files import (
     write_ranges,
 )
 from barkeep.streaming.ingest import ingest_new_files
+from barkeep.streaming.keyed import ingest_keyed
 from workload.inputs import (
     bars,
     bars_table,
@@ -493,6 +502,77 @@ def date_requests(spark, sf_dir):
     return asked.join(counted.select("start_date", "end_date", "bars"), ["start_date", "end_date"])
 
 
+def metrics_bucketed(spark, sf_dir):
+    """Metrics of bars in a bucketed table, where a second version has restated the first."""
+    rows = bars(spark, sf_dir)
+    name, location = fresh_table(spark, "bucketed")
+    create_versioned_table(spark, name, location)
+    upsert_version(name, bounded(rows, end=SOME_DAYS[0]).withColumn("high", F.col("high") * 2))
+    upsert_version(name, rows)
+    return range_extremes(current_rows(spark, name), *all_days(spark, sf_dir), unique_days=True)
+
+
+def metrics_versions(spark, sf_dir):
+    """The upsert of ``metrics_upsert`` as a second version, compacted, and read through a view."""
+    rows = bars(spark, sf_dir)
+    name, location = fresh_table(spark, "versions")
+    create_versioned_table(spark, name, location, METRICS)
+    today = SOME_DAYS[0]
+    first, last = all_days(spark, sf_dir)
+    upsert_version(name, range_extremes(bounded(rows, end=today), first, today, unique_days=True))
+    days = output_range(today, last, DAILY_IMPACTED)
+    upsert_version(name, range_extremes(rows, days.start, days.end, unique_days=True))
+    compact(spark, name)
+    create_current_view(spark, f"{name}_now", name)
+    return read_table(spark, f"{name}_now")
+
+
+def bars_keyed_stream(spark, sf_dir):
+    name, location = fresh_table(spark, "keyed")
+    create_versioned_table(spark, name, location)
+    ingest_keyed(spark, raw_zone(spark, sf_dir), name, fresh_dir(spark, "keyed-checkpoint"), FILES_PER_BATCH)
+    return current_rows(spark, name)
+
+
+def bars_quarantined(spark, sf_dir):
+    """Text files with unreadable and missing cells: the bars loaded, and the rows set aside with their reasons."""
+    text = raw_bars(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS])
+    volume, price = F.col("volume").cast("double"), F.col("open").cast("double")
+    spoilt = text.withColumns(
+        {
+            "ticker": F.when(~(price > 50000), F.col("ticker")),
+            "volume": F.when(volume < 5, F.lit("n/a")).otherwise(F.col("volume")),
+        }
+    )
+    root = write_day_files(spoilt, utc_date("cast(window_start as bigint)"), fresh_dir(spark, "spoilt"))
+    name, aside = bars_table(spark, "checked"), fresh_table(spark, "aside")[0]
+    load_checked(spark, root, name, aside)
+    good = read_table(spark, name).select(
+        F.lit("GOOD").alias("status"), F.col("trade_date").alias("file_day"), "ticker", "window_start",
+        "transactions", F.lit(None).cast("string").alias("reasons"),
+    )
+    cells = F.from_json("row", "ticker string, window_start string, transactions string").alias("cells")
+    bad = read_table(spark, aside).select("file_day", cells, "reasons").select(
+        F.lit("BAD").alias("status"), "file_day", "cells.ticker", F.col("cells.window_start").cast("long"),
+        F.col("cells.transactions").cast("long"), F.array_join("reasons", "; ").alias("reasons"),
+    )
+    return good.unionByName(bad)
+
+
+def backfill_resumed(spark, sf_dir):
+    """A backfill of some months, and one of all months that leaves out what the first has done."""
+    root = raw_zone(spark, sf_dir)
+    name, ledger = bars_table(spark, "resumed"), fresh_table(spark, "finished")[0]
+    months = _month_list(spark, sf_dir, root)
+    resumable_backfill(spark, months.filter(F.col("end_date") < SOME_DAYS[0]), name, ledger, at_once=60)
+    done = resumable_backfill(spark, months, name, ledger, at_once=60)
+    per_month = read_table(spark, name).groupBy(F.trunc("trade_date", "month").alias("month"))
+    loaded = per_month.agg(F.count("*").alias("loaded"))
+    return done.withColumn("month", F.trunc("start_date", "month")).join(loaded, "month", "left").select(
+        "month", "status", "bars", "resumed", F.coalesce("loaded", F.lit(0)).cast("long").alias("loaded")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -544,5 +624,10 @@ QUERIES = {
         backfill_bad_range,
         table_properties,
         date_requests,
+        metrics_bucketed,
+        metrics_versions,
+        bars_keyed_stream,
+        bars_quarantined,
+        backfill_resumed,
     )
 }
