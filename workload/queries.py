@@ -553,8 +553,9 @@ def bars_quarantined(spark, sf_dir):
     )
     cells = F.from_json("row", "ticker string, window_start string, transactions string").alias("cells")
     bad = read_table(spark, aside).select("file_day", cells, "reasons").select(
-        F.lit("BAD").alias("status"), "file_day", "cells.ticker", F.col("cells.window_start").cast("long"),
-        F.col("cells.transactions").cast("long"), F.array_join("reasons", "; ").alias("reasons"),
+        F.lit("BAD").alias("status"), "file_day", "cells.ticker",
+        F.col("cells.window_start").cast("long").alias("window_start"),
+        F.col("cells.transactions").cast("long").alias("transactions"), F.array_join("reasons", "; ").alias("reasons"),
     )
     return good.unionByName(bad)
 
