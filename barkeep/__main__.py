@@ -9,10 +9,11 @@ from barkeep.functions import ranges
 from barkeep.operators.manifest import staging_manifest, staging_summary
 from barkeep.operators.normalize import PERMISSIVE, STRICT
 from barkeep.operators.profile import profile
-from barkeep.plans.backfill import backfill
+from barkeep.plans.backfill import backfill, resumable_backfill
 from barkeep.plans.daily import daily_update
 from barkeep.plans.load import load_bars, load_relational, refresh_bars
 from barkeep.plans.metrics import update_metrics
+from barkeep.plans.quarantine import load_checked
 from barkeep.session import build_session
 from barkeep.sinks.relational import BATCH_ROWS, ensure_target
 from barkeep.sinks.tables import (
@@ -21,6 +22,7 @@ from barkeep.sinks.tables import (
     create_bars_table,
     create_metrics_table,
 )
+from barkeep.sinks.versions import compact
 from barkeep.sources.raw_files import list_files, read_inferred, read_ranges
 from barkeep.streaming.ingest import ingest_new_files
 
@@ -83,10 +85,22 @@ def job_manifest(spark, args):
 
 
 def job_backfill(spark, args):
-    done = backfill(spark, read_ranges(spark, args.ranges), args.table, args.mode)
+    listed = read_ranges(spark, args.ranges)
+    if args.finished:
+        done = resumable_backfill(spark, listed, args.table, args.finished, args.mode)
+    else:
+        done = backfill(spark, listed, args.table, args.mode)
     return [row.asDict() for row in done.orderBy("range_id").collect()]
 
 
+def job_load_checked(spark, args):
+    return vars(load_checked(spark, args.input_path, args.table, args.quarantine))
+
+
+def job_compact(spark, args):
+    return {"years": compact(spark, args.table, args.most_versions)}
+
+
 def job_ingest(spark, args):
     ingest_new_files(spark, args.input_path, args.table, args.checkpoint, args.files_per_batch, args.ledger)
 
@@ -158,6 +172,10 @@ def parser():
     _request(job("manifest", job_manifest, "--input-path"))
     sub = job("backfill", job_backfill, "--ranges", "--table")
     sub.add_argument("--mode", choices=(PERMISSIVE, STRICT), default=PERMISSIVE)
+    sub.add_argument("--finished", help="table that remembers finished ranges: a run begun again does the rest")
+    job("load-checked", job_load_checked, "--input-path", "--table", "--quarantine")
+    sub = job("compact", job_compact, "--table")
+    sub.add_argument("--most-versions", type=int, default=1, help="leave years alone that have no more than these")
     sub = job("ingest", job_ingest, "--input-path", "--table", "--checkpoint")
     sub.add_argument("--files-per-batch", type=int)
     sub.add_argument("--ledger", help="also notice files that were replaced under their name")

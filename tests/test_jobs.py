@@ -14,6 +14,7 @@ from barkeep.operators.ranges import count_by_range, match_ranges
 from barkeep.plans.daily import daily_update
 from barkeep.plans.load import bars_from_text, load_bars
 from barkeep.scratch import scratch_root, stage
+from barkeep.sinks.versions import create_versioned_table, current_rows, upsert_version
 from barkeep.sources.raw_files import list_files, scan_text
 from barkeep.streaming.ingest import ingest_new_files
 
@@ -151,3 +152,19 @@ def test_command_line(spark, raw_zone, table_name):
     assert spark.table(metrics).count() == 1
     assert main(["manifest", "--input-path", raw_zone.root, *days])["status"] == "STAGED"
     assert main(["profile", "--input-path", raw_zone.root + "/*/*"])["rows"] == 1
+
+
+def test_command_line_of_checked_and_resumable_loads(spark, raw_zone, table_name, tmp_path):
+    raw_zone("2024-01-02", [line("A", "2024-01-02"), line("B", "2024-01-02", price="x")])
+    found = main(["load-checked", "--input-path", raw_zone.root, "--table", table_name, "--quarantine", f"{table_name}_q"])
+    assert found == {"rows_read": 2, "rows_aside": 1}
+    item = {"input_path": raw_zone.root, "start_date": "2024-01-01", "end_date": "2024-01-31"}
+    (tmp_path / "ranges.json").write_text(json.dumps({"months": [item]}))
+    run = ["backfill", "--ranges", str(tmp_path / "ranges.json"), "--table", table_name, "--finished", f"{table_name}_f"]
+    assert [[r["resumed"] for r in main(run)] for _ in range(2)] == [[False], [True]]
+    versioned = f"{table_name}_v"
+    create_versioned_table(spark, versioned, str(tmp_path / "versions"), buckets=2)
+    for _ in range(2):
+        upsert_version(versioned, spark.table(table_name))
+    assert main(["compact", "--table", versioned]) == {"years": [2024]}
+    assert current_rows(spark, versioned).count() == 2
