@@ -7,7 +7,8 @@ also stands together in some item (nothing else can hold a window), searches all
 backwards, locates them through sampled suffix places and merges what they cover.
 
 The windows of a block of items are broadcast; a block holds at most ``block_bytes`` of
-item text, and more items than that make more passes, chained in the same stage.
+item text (or one item). More items than that make more passes: what a pass marks in the documents is written before the
+next block is read, so that driver and workers hold one block at a time, however large the benchmark is.
 Null texts and texts without words hold no window. Repeated item rows count once, a null
 item id marks words but is not listed. Documents' ids may be null or repeated.
 """
@@ -18,10 +19,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from barkeep.llm.batches import pick, slices, to_batch, word_bytes, words_of
+from barkeep.llm.batches import pick, slices, to_batch, unused_names, word_bytes, words_of
 from barkeep.llm.fm_index import FMIndex
+from barkeep.scratch import stage
 
 BLOCK_BYTES = 8_000_000
+# What earlier blocks left at a document: its hit words as bits, and items.
+MARKS = "struct<mask:binary,items:array<string>>"
 
 SCHEMA = (
     "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
@@ -43,18 +47,22 @@ class Windows:
 
     def __init__(self, items, size):
         """``items``: (id as text or None, text as bytes)."""
-        self.vocabulary, rows = {}, {}
+        self.vocabulary, self.names = {}, []
+        windows, owners = [np.zeros((0, size), np.int64)], []
         for item, text in items:
-            numbers = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
-            if not numbers:
+            words = words_of(text)
+            if not words:
                 continue
-            for i in range(max(1, len(numbers) - size + 1)):
-                rows.setdefault(tuple(numbers[i : i + size]), set()).add(item)
-        self.lengths = np.array([len(w) for w in rows], np.int64)
-        self.patterns = np.zeros((len(rows), size), np.int64)
-        for i, w in enumerate(rows):
-            self.patterns[i, : len(w)] = w
-        self.items = [sorted(x for x in found if x is not None) for found in rows.values()]
+            numbers = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words])
+            numbers = np.pad(numbers, (0, max(0, size - len(numbers))))
+            windows.append(np.lib.stride_tricks.sliding_window_view(numbers, size))
+            owners.append(np.full(len(windows[-1]), len(self.names)))
+            self.names.append(item)
+        self.patterns, which = np.unique(np.concatenate(windows), axis=0, return_inverse=True)
+        self.lengths = (self.patterns > 0).sum(axis=1)
+        # Items of window w: owner[first[w]:first[w + 1]].
+        self.owner = np.concatenate([np.zeros(0, np.int64), *owners])[np.argsort(which.ravel(), kind="stable")]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(which.ravel(), minlength=len(self.patterns)))])
         self.shortest = int(self.lengths.min(initial=size))
         left, right = self.patterns[:, :-1].ravel(), self.patterns[:, 1:].ravel()
         self.pairs = np.zeros(1 << 22, bool)
@@ -114,52 +122,84 @@ class Windows:
         cut = np.flatnonzero(np.diff(pairs[:, 0])) + 1
         for group in np.split(pairs, cut):
             t = int(group[0, 0])
-            ids = set().union(*(self.items[w] for w in group[:, 1]))
+            owners = {o for w in group[:, 1] for o in self.owner[self.first[w] : self.first[w + 1]].tolist()}
+            ids = {self.names[o] for o in owners} - {None}
             found[t] = (cover[starts[t] : starts[t + 1] - 1], ids)
         return found
 
 
-def _blocks(benchmark, size, block_bytes, item_col, text_col):
-    """Broadcast windows, of items with ``block_bytes`` of text at most (or of one item)."""
+def _blocks(benchmark, size, block_bytes, item_col):
+    """Windows of items with ``block_bytes`` of text at most (or of one item), one block after the other."""
     items = benchmark.select(
         F.col(f"`{item_col}`").cast("string").alias("item"),
-        F.encode(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), "UTF-8").alias("raw"),
+        F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8").alias("raw"),
     )
-    context = benchmark.sparkSession.sparkContext
-    blocks, block, held = [], [], 0
+    block, held = [], 0
     for item, raw in items.toLocalIterator():
         if block and held + len(raw) > block_bytes:
-            blocks.append(context.broadcast(Windows(block, size)))
+            yield Windows(block, size)
             block, held = [], 0
         block.append((item, bytes(raw)))
         held += len(raw)
-    if block:
-        blocks.append(context.broadcast(Windows(block, size)))
-    return blocks
+    yield Windows(block, size)
 
 
-def _search(blocks, raws):
-    """Words per text, with the hits of all blocks together."""
+def _search(block, raws, marks):
+    """Words per text, and the hits of a block (mask or None, ids) together with earlier marks."""
     words = [words_of(raw) for raw in raws]
-    found = [[None, set()] for _ in raws]
-    for block in blocks:
-        for known, (mask, ids) in zip(found, block.value.search(words)):
-            if mask is not None:
-                known[0] = mask if known[0] is None else known[0] | mask
-                known[1] |= ids
+    found = block.value.search(words)
+    if marks is None:
+        return words, found
+    for t, mark in enumerate(marks.to_pylist()):
+        if mark is not None:
+            (mask, ids), n = found[t], len(words[t])
+            known = np.unpackbits(np.frombuffer(mark["mask"], np.uint8), count=n).astype(bool)
+            found[t] = (known if mask is None else known | mask, {*mark["items"], *ids})
     return words, found
 
 
+def _last_block(docs, benchmark, size, block_bytes, item_col, text_col, hits):
+    """(docs, last block): earlier blocks' hits, if there are any, are in the column ``hits`` of docs."""
+    context, block = docs.sparkSession.sparkContext, None
+
+    def marking(block, schema, arrow):
+        def run(batches):
+            for batch in batches:
+                for rows, raws in slices(batch, text_col):
+                    _, found = _search(block, raws, rows.column(hits))
+                    marks = [
+                        None if mask is None else {"mask": np.packbits(mask).tobytes(), "items": sorted(ids)}
+                        for mask, ids in found
+                    ]
+                    columns = [*rows.columns[:-1], pa.array(marks, arrow)]
+                    yield pa.RecordBatch.from_arrays(columns, names=rows.schema.names)
+
+        return docs.mapInArrow(run, schema)
+
+    arrow = pa.struct([("mask", pa.binary()), ("items", pa.list_(pa.string()))])
+    for windows in _blocks(benchmark, size, block_bytes, item_col):
+        if block is not None:
+            if hits not in docs.columns:
+                docs = docs.withColumn(hits, F.lit(None).cast(MARKS))
+            docs = stage(marking(block, docs.schema, arrow), "marked")
+            block.destroy()
+        block = context.broadcast(windows)
+    return docs, block
+
+
 def contamination(
     docs, benchmark, window=10, block_bytes=BLOCK_BYTES, id_col="doc_id", text_col="text", item_col="item_id"
 ):
     """One row per row of ``docs``: words, hit words, items with a window in it and their digest."""
-    blocks = _blocks(benchmark, window, block_bytes, item_col, "text")
+    texts, block = _last_block(
+        pick(docs, id_col, text_col), benchmark, window, block_bytes, item_col, "text", "hits"
+    )
+    marked = "hits" in texts.columns
 
     def run(batches):
         for batch in batches:
             for rows, raws in slices(batch, "text"):
-                words, found = _search(blocks, raws)
+                words, found = _search(block, raws, rows.column("hits") if marked else None)
                 hits = [0 if mask is None else int(mask.sum()) for mask, _ in found]
                 yield to_batch(
                     _OUT,
@@ -171,7 +211,7 @@ def contamination(
                     [n > 0 for n in hits],
                 )
 
-    return pick(docs, id_col, text_col).mapInArrow(run, SCHEMA)
+    return texts.mapInArrow(run, SCHEMA)
 
 
 def _without(raw, mask):
@@ -196,13 +236,16 @@ def remove_benchmark(
 
     Texts without a window, and null texts, stay exactly as they are.
     """
-    blocks = _blocks(benchmark, window, block_bytes, item_col, "text")
-    at = docs.columns.index(text_col)
+    (hits,), schema, at = unused_names(docs, "hits"), docs.schema, docs.columns.index(text_col)
+    docs, block = _last_block(docs, benchmark, window, block_bytes, item_col, text_col, hits)
+    marked = hits in docs.columns
 
     def run(batches):
         for batch in batches:
             for rows, raws in slices(batch, text_col):
-                _, found = _search(blocks, raws)
+                _, found = _search(block, raws, rows.column(hits) if marked else None)
+                if marked:
+                    rows = rows.drop_columns([hits])
                 if all(mask is None for mask, _ in found):
                     yield rows
                     continue
@@ -214,4 +257,4 @@ def remove_benchmark(
                 columns = [pa.array(texts, old.type) if i == at else c for i, c in enumerate(rows.columns)]
                 yield pa.RecordBatch.from_arrays(columns, schema=rows.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, schema)

@@ -535,3 +535,14 @@ def test_removed_benchmark_leaves_the_rest(spark):
     rows = {r.doc_id: r.text for r in remove_benchmark(docs_of(spark, texts), benchmark).collect()}
     assert rows == {0: "Before after.", 1: "one two three four", 2: None}
     assert remove_benchmark(docs_of(spark, texts), benchmark.limit(0)).where(F.col("doc_id") == 0).first().text == texts[0]
+
+
+def test_removed_in_passes_of_one_item_each(spark):
+    benchmark = spark.createDataFrame([(i, f"a{i} b{i} c{i}") for i in range(4)], "item_id long, text string")
+    texts = ["x A0 b0 c0 y, a3 b3 c3", "a1 b1 c1", "a1 b1", None, ""]
+    docs = docs_of(spark, texts).withColumnRenamed("Text2", "Hits")
+    whole, passes = (remove_benchmark(docs, benchmark, block_bytes=size) for size in (8_000_000, 1))
+    assert whole.schema == passes.schema == docs.schema
+    rows = sorted(passes.collect(), key=lambda r: r.doc_id)
+    assert rows == sorted(whole.collect(), key=lambda r: r.doc_id)
+    assert [r.text for r in rows] == ["x y, ", " ", "a1 b1", None, ""]
