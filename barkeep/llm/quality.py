@@ -3,10 +3,11 @@
 Heuristic labellers each vote junk, clean, or not at all on a text; several may overlap.
 Expectation-maximisation over the counts of vote patterns, taken over all rows, estimates how
 often each labeller votes what for junk and for clean texts and how much junk there is. A labeller
-that does not vote says nothing. The posterior of its pattern is a text's weak label, and on a bounded sample of texts a linear scorer
-of hashed features (byte-class trigrams and ranges of the measured shares) is fitted to it.
-The scorer then judges every text. At most 3^7 patterns and ``most_fitted`` texts' features come
-to the driver. No labels, languages or sources are used.
+that does not vote says nothing. The posterior of its pattern is a text's weak label, and on a bounded sample a linear scorer
+of hashed features (byte-class trigrams and ranges of the measured shares) is fitted to it. The sample
+is the ``most_fitted`` different texts of least hash, each weighted by how many rows hold it: a text that fills a third of
+all rows is drawn at most once, and neither files nor their order matter.
+The scorer then judges every text. At most 3^7 patterns, and the features of the sample, come to the driver. No labels, languages or sources are used.
 
 Null and empty texts give no vote and count as clean: there is nothing to reject. Repeated rows are
 judged alike; ids are only carried along.
@@ -138,20 +139,33 @@ def posteriors(counts, steps=100):
     return dict(zip(patterns, junk.tolist()))
 
 
-def fit(x, y, steps=400, rate=0.3, ridge=1e-4):
-    """Weights of a logistic scorer (last: the constant) for labels between 0 and 1."""
+def fit(x, y, n, steps=400, rate=0.3, ridge=1e-4):
+    """Weights of a logistic scorer (last: the constant) for labels between 0 and 1, of rows that stand for ``n`` each."""
     x = np.column_stack([x, np.ones(len(x), np.float32)])
+    n = n / n.sum()
     w = np.zeros(x.shape[1])
     first, second = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (p - y) / len(y) + ridge * w
+        slope = x.T @ ((p - y) * n) + ridge * w
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         w -= rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
     return w
 
 
+def drawn_texts(texts, most_fitted=MOST_FITTED):
+    """(text, n): the different texts of least hash, at most ``most_fitted``, and how many rows hold each.
+
+    Texts are told apart by 64-bit hashes; only hashes and counts of all texts are shuffled.
+    """
+    hashed = texts.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    least = hashed.groupBy("h").count().orderBy("h").limit(most_fitted)
+    last = least.agg(F.max("h")).first()[0]
+    # Copies of a drawn text become one row before the shuffle.
+    return hashed.where(F.col("h") <= last).groupBy("h").agg(F.first("text").alias("text"), F.count("*").alias("n"))
+
+
 def learn(texts, most_fitted=MOST_FITTED):
     """Weights of the scorer for a table with ``text``."""
 
@@ -164,26 +178,27 @@ def learn(texts, most_fitted=MOST_FITTED):
     counted = texts.select("text").mapInArrow(vote, "votes string").groupBy("votes").count()
     counts = {r["votes"]: r["count"] for r in counted.collect()}
     chance = posteriors(counts)
-    total = sum(counts.values())
+    if not counts:
+        return np.zeros(WIDTH + 1)
 
     def measure(batches):
-        schema = pa.schema([("junk", pa.float64()), ("row", pa.binary())])
+        schema = pa.schema([("h", pa.int64()), ("n", pa.int64()), ("junk", pa.float64()), ("row", pa.binary())])
         for batch in batches:
-            for _, raws in slices(batch, "text"):
+            for rows, raws in slices(batch, "text"):
                 found = [shares(raw) for raw in raws]
                 yield to_batch(
                     schema,
+                    rows.column("h"),
+                    rows.column("n"),
                     [chance.get(votes_of(f), 0.0) for f in found],
                     [features(raw, f).tobytes() for raw, f in zip(raws, found)],
                 )
 
-    cut = int(min(1.0, 1.2 * most_fitted / max(1, total)) * (2**32 - 1))
-    drawn = texts.select("text").where(F.pmod(F.xxhash64("text"), F.lit(2**32)) <= cut)
-    rows = drawn.mapInArrow(measure, "junk double, row binary").limit(most_fitted).collect()
-    if not rows:
-        return np.zeros(WIDTH + 1)
+    drawn = drawn_texts(texts, most_fitted).select("h", "n", "text")
+    rows = drawn.mapInArrow(measure, "h long, n long, junk double, row binary").collect()
+    rows.sort(key=lambda r: r["h"])
     x = np.stack([np.frombuffer(r["row"], np.float32) for r in rows])
-    return fit(x, np.array([r["junk"] for r in rows]))
+    return fit(x, np.array([r["junk"] for r in rows]), np.array([float(r["n"]) for r in rows]))
 
 
 def _scores(weights, raws, found):

@@ -19,7 +19,7 @@ from barkeep.llm.decontamination import contamination, remove_benchmark
 from barkeep.llm.fm_index import FMIndex
 from barkeep.llm.licenses import license_scan
 from barkeep.llm.pieces import PieceCodec, encoded_pieces, piece_digests
-from barkeep.llm.quality import keep_quality, posteriors, quality
+from barkeep.llm.quality import drawn_texts, fit, keep_quality, posteriors, quality
 from barkeep.llm.repeats import remove_repeats, repeat_digests
 from barkeep.llm.simhash import drop_near_duplicates, fold, fingerprint_text, near_duplicates, shingle_hashes
 from barkeep.llm.token_counts import PrefixCounter, token_counts
@@ -402,6 +402,51 @@ def test_quality_keeps_clean_and_rejects_junk(spark):
     assert n[(0, False)] >= 0.9 * (n[(0, False)] + n.get((0, True), 0))
 
 
+def test_sample_is_of_different_texts_however_rows_lie(spark):
+    texts = ["hot"] * 400 + [f"text {i}" for i in range(200)] + [f"twice {i}" for i in range(50)] * 2 + [None, ""]
+    counts = Counter(t or "" for t in texts)
+    docs = docs_of(spark, texts)
+    draws = []
+    for frame, most in ((docs, 60), (docs.repartition(5), 60), (docs, 10_000)):
+        rows = drawn_texts(frame, most).collect()
+        assert len(rows) == min(most, len(counts)) and all(r.n == counts[r.text] for r in rows)
+        draws.append({r.text for r in rows})
+    assert draws[0] == draws[1] and draws[2] == set(counts)
+
+
+def test_counted_rows_fit_like_repeated_ones():
+    rnd = np.random.default_rng(1)
+    x, y, n = rnd.random((30, 8), np.float32), rnd.random(30), rnd.integers(1, 5, 30)
+    apart = fit(np.repeat(x, n, axis=0), np.repeat(y, n), np.ones(n.sum()))
+    assert np.allclose(fit(x, y, n), apart, atol=1e-3)
+
+
+def test_posteriors_equal_plain_expectation_maximisation():
+    rnd = random.Random(3)
+    counts = Counter("".join(rnd.choice("0012") for _ in range(3)) for _ in range(500))
+    total = sum(counts.values())
+    junk = {p: 0.9 if "1" in p else 0.02 for p in counts}
+    for _ in range(100):
+        share = (sum(n * junk[p] for p, n in counts.items()) + 1) / (total + 2)
+        rates = []
+        for clean, (cries, votes) in ((True, (0.002 * 50 * total, 50 * total)), (False, (0.6, 2.0))):
+            weight = {p: n * (1 - junk[p] if clean else junk[p]) for p, n in counts.items()}
+            rates.append([
+                (sum(w for p, w in weight.items() if p[i] == "1") + cries)
+                / (sum(w for p, w in weight.items() if p[i] != "2") + votes)
+                for i in range(3)
+            ])
+        for p in counts:
+            chances = []
+            for prior, rate in ((1 - share, rates[0]), (share, rates[1])):
+                for figure, r in zip(p, rate):
+                    prior *= {"0": 1 - r, "1": r, "2": 1}[figure]
+                chances.append(prior)
+            junk[p] = chances[1] / sum(chances)
+    for p, chance in posteriors(counts).items():
+        assert abs(chance - (0 if p == "222" else junk[p])) < 1e-5
+
+
 # -- op 7
 
 
