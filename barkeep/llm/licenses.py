@@ -7,9 +7,11 @@ template's distinct words. Words are ordered by how many documents of the whole
 hold them, rarest first, counted by one job over all rows. A pair is looked at only if
 the block has a word of the template's prefix (all but ``ceil(threshold * size) - 1`` of its
 words, so one of them must occur), has words enough, and has words enough left behind
-the first shared one; pairs that pass are counted exactly.
+the first shared one; pairs that pass are counted exactly. ``license_matches`` returns every pair of block
+and template at the threshold, ``license_scan`` counts them as ``n_matches``.
 
-A template of fewer than ``SHORT`` distinct words must occur whole, its words in order with at
+Labels want more than a match, as licenses share most of their words. A template of fewer than ``SHORT`` distinct words
+must occur whole in the matching block, its words in order with at
 most one other word between two of them: of so few words, those that tell it from another license are too small a part. Of longer ones, a
 word that no template of another label holds must be in the block, if the template has such words.
 
@@ -25,7 +27,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from barkeep.llm.batches import pick, slices, to_batch, word_bytes
+from barkeep.llm.batches import pick, slices, to_batch, word_bytes, words_of
 
 # The phrases and labels every scan reports.
 BASE = (
@@ -54,8 +56,9 @@ SHORT = 8
 
 SCHEMA = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, "
-    "base_labels string, labels string, score double"
+    "base_labels string, labels string, score double, n_matches long"
 )
+MATCHES = "doc_id long, first_word long, label string, template string, overlap long, containment double"
 _OUT = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -66,6 +69,17 @@ _OUT = pa.schema(
         ("base_labels", pa.string()),
         ("labels", pa.string()),
         ("score", pa.float64()),
+        ("n_matches", pa.int64()),
+    ]
+)
+_MATCHES = pa.schema(
+    [
+        ("doc_id", pa.int64()),
+        ("first_word", pa.int64()),
+        ("label", pa.string()),
+        ("template", pa.string()),
+        ("overlap", pa.int64()),
+        ("containment", pa.float64()),
     ]
 )
 
@@ -94,14 +108,12 @@ class Matcher:
         spelt = [word_bytes(text.encode()).split() for _, text in templates]
         sets = [frozenset(words) for words in spelt]
         self.labels = [label for label, _ in templates]
+        self.texts = [text for _, text in templates]
         self.order = {
             w: n for n, w in enumerate(sorted(set().union(*sets), key=lambda w: (frequency.get(w.decode(), 0), w)))
         }
         self.sorted = [sorted(self.order[w] for w in s) for s in sets]
-        self.needed = [
-            len(s) if len(s) < SHORT else max(1, math.ceil(threshold * len(s) - 1e-9)) for s in sets
-        ]
-        self.needed = [max(1, n) for n in self.needed]
+        self.needed = [max(1, math.ceil(threshold * len(s) - 1e-9)) for s in sets]
         self.phrases = [
             re.compile(rb"(?: \S+)? ".join([b" " + re.escape(words[0]), *map(re.escape, words[1:])]) + b" ")
             if words and len(s) < SHORT
@@ -121,9 +133,9 @@ class Matcher:
         self.prefix_words = frozenset(names[n] for n in self.prefixes)
         self.length = max((len(word_bytes(text.encode()).split()) for _, text in templates), default=1)
 
-    def best(self, words):
-        """Largest containment per template over the blocks of a text, where it reaches the threshold."""
-        found = {}
+    def matches(self, words):
+        """(template, first word of the block, shared words, fit for a label) of all pairs at the threshold."""
+        found = []
         if self.prefix_words.isdisjoint(words):
             return found
         order, step = self.order.get, self.length
@@ -142,12 +154,13 @@ class Matcher:
                     if len(block) < need or 1 + min(len(numbers) - place - 1, len(shared) - at - 1) < need:
                         continue
                     overlap = sum(n in have for n in numbers)
-                    if overlap < need or self.own[t] and self.own[t].isdisjoint(have):
+                    if overlap < need:
                         continue
-                    if self.phrases[t] and line is None:
-                        line = b" %b " % b" ".join(stretch)
-                    if not self.phrases[t] or self.phrases[t].search(line):
-                        found[t] = max(found.get(t, 0.0), overlap / len(numbers))
+                    fit = not self.own[t] or not self.own[t].isdisjoint(have)
+                    if fit and self.phrases[t]:
+                        line = line or b" %b " % b" ".join(stretch)
+                        fit = overlap == len(numbers) and self.phrases[t].search(line) is not None
+                    found.append((t, start, overlap, fit))
         return found
 
 
@@ -165,31 +178,58 @@ def _base_places(words, base):
     ]
 
 
-def license_scan(docs, templates=TEMPLATES, threshold=0.8, base=BASE, id_col="doc_id", text_col="text"):
-    """One row per row of ``docs``: base places, labels, and the largest containment as score."""
+def _matcher(texts, templates, threshold):
     if sum(len(text) for _, text in templates) > MOST_TEMPLATE_BYTES:
         raise ValueError("every task holds all templates: they must stay below MOST_TEMPLATE_BYTES")
-    texts = pick(docs, id_col, text_col)
     vocabulary = set().union(*(word_bytes(text.encode()).split() for _, text in templates))
     # At most one row per template word comes back.
     frequency = {r["word"]: r["n"] for r in document_frequency(texts, vocabulary).collect()}
-    matcher = Matcher(templates, frequency, threshold)
+    return Matcher(templates, frequency, threshold)
+
+
+def license_matches(docs, templates=TEMPLATES, threshold=0.8, id_col="doc_id", text_col="text"):
+    """One row per block and template at the threshold, with the place of the block's first word.
+
+    Rows without a match, null and empty texts among them, give none; repeated rows give theirs each.
+    """
+    texts = pick(docs, id_col, text_col)
+    matcher = _matcher(texts, templates, threshold)
+
+    def run(batches):
+        for batch in batches:
+            for rows, raws in slices(batch, "text"):
+                out = [
+                    (doc_id, start, matcher.labels[t], matcher.texts[t], overlap, overlap / len(matcher.sorted[t]))
+                    for doc_id, raw in zip(rows.column("doc_id").to_pylist(), raws)
+                    for t, start, overlap, _ in matcher.matches(words_of(raw))
+                ]
+                if out:
+                    yield to_batch(_MATCHES, *map(list, zip(*out)))
+
+    return texts.mapInArrow(run, MATCHES)
+
+
+def license_scan(docs, templates=TEMPLATES, threshold=0.8, base=BASE, id_col="doc_id", text_col="text"):
+    """One row per row of ``docs``: base places, labels, the largest containment of a label's template as score, matches."""
+    texts = pick(docs, id_col, text_col)
+    matcher = _matcher(texts, templates, threshold)
     phrases = [(phrase.encode().split(), label) for phrase, label in base]
     rare = [phrase[-1] for phrase, _ in phrases]
 
     def run(batches):
         for batch in batches:
             for rows, raws in slices(batch, "text"):
-                out = [[] for _ in range(7)]
+                out = [[] for _ in range(8)]
                 for raw in raws:
                     shown = word_bytes(raw)
                     words = shown.split()
                     places = _base_places(words, phrases) if any(w in shown for w in rare) else []
-                    held = matcher.best(words)
+                    matches = matcher.matches(words)
+                    held = [(t, overlap / len(matcher.sorted[t])) for t, _, overlap, fit in matches if fit]
                     own = {label for _, label in places}
                     starts = [start for start, _ in places]
-                    score = 1.0 if places else max(held.values(), default=0.0)
-                    labels = own | {matcher.labels[t] for t in held}
+                    score = 1.0 if places else max((share for _, share in held), default=0.0)
+                    labels = own | {matcher.labels[t] for t, _ in held}
                     for column, value in zip(
                         out,
                         (
@@ -200,6 +240,7 @@ def license_scan(docs, templates=TEMPLATES, threshold=0.8, base=BASE, id_col="do
                             ",".join(sorted(own)),
                             ",".join(sorted(labels)),
                             score,
+                            len(matches),
                         ),
                     ):
                         column.append(value)

@@ -17,7 +17,7 @@ from barkeep.llm.chat import render_conversations
 from barkeep.llm.components import components
 from barkeep.llm.decontamination import contamination, remove_benchmark
 from barkeep.llm.fm_index import FMIndex
-from barkeep.llm.licenses import license_scan
+from barkeep.llm.licenses import TEMPLATES, license_matches, license_scan
 from barkeep.llm.pieces import PieceCodec, encoded_pieces, piece_digests
 from barkeep.llm.quality import drawn_texts, fit, keep_quality, posteriors, quality
 from barkeep.llm.repeats import remove_repeats, repeat_digests
@@ -103,6 +103,34 @@ def base_places(words):
     return [(i, label) for i in range(len(words)) for p, label in phrases.items() if tuple(words[i : i + len(p)]) == p]
 
 
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
+def test_license_matches_are_all_pairs_at_the_threshold(spark, threshold):
+    rnd = random.Random(5)
+    known = [w for _, text in TEMPLATES for w in text.split()]
+    texts = [None, "", "mit", *AWKWARD[1:], *(text for _, text in TEMPLATES)]
+    for _ in range(80):
+        parts = []
+        for _ in range(rnd.randint(1, 5)):
+            words = rnd.choice(TEMPLATES)[1].split()
+            kept = [w for w in words if rnd.random() < 0.9]
+            parts += kept + [rnd.choice([*known, "é", "other", "words"]) for _ in range(rnd.randint(0, 40))]
+        texts.append(" ".join(parts))
+    sets = [(label, text, set(words_of(text.encode()))) for label, text in TEMPLATES]
+    step = max(len(words_of(text.encode())) for _, text in TEMPLATES)
+    expected = Counter()
+    for d, text in enumerate(texts):
+        words = words_of((text or "").encode())
+        for start in range(0, max(1, len(words) - step), step):
+            block = set(words[start : start + 2 * step])
+            for label, template, s in sets:
+                if len(s & block) >= threshold * len(s) - 1e-9:
+                    expected[d, start, label, template, len(s & block), len(s & block) / len(s)] += 1
+    assert Counter(map(tuple, license_matches(docs_of(spark, texts), threshold=threshold).collect())) == expected
+    counted = {r.doc_id: r.n_matches for r in license_scan(docs_of(spark, texts), threshold=threshold).collect()}
+    per_text = Counter(key[0] for key in expected.elements())
+    assert counted == {d: per_text[d] for d in range(len(texts))}
+
+
 def test_license_scan(spark):
     notice = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
     texts = [
