@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from barkeep.llm import repeats
 from barkeep.llm.batches import tokenizer_file
 from barkeep.llm.chat import render_conversations
+from barkeep.llm.decontamination import contamination, remove_benchmark
+from barkeep.llm.licenses import license_scan
+from barkeep.llm.quality import quality
 from barkeep.llm.repeats import remove_repeats, repeat_digests
 from barkeep.llm.simhash import drop_near_duplicates
 from barkeep.llm.token_counts import answered, stored_counts
@@ -143,3 +146,22 @@ def test_limits_answered_from_one_encoding(spark, tmp_path):
         else:
             # The next character belongs to a piece that does not fit.
             assert len(cut) < len(text)
+
+
+def test_texts_of_8_mb_are_read_to_their_end(spark):
+    rnd = random.Random(4)
+    words = [f"w{rnd.randrange(50_000)}" for _ in range(1_200_000)]
+    notice, item = "released under the mit license", [f"q{i}" for i in range(12)]
+    long = " ".join([*words, notice, "then", *item, "end"])
+    docs = spark.createDataFrame([(1, long), (2, "short text"), (3, long)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([("a", " ".join(item)), ("b", "not in any text at all of these three documents")], "item_id string, text string")
+    at = len(words) + notice.split().index("mit")
+    for r in license_scan(docs).where("doc_id <> 2").collect():
+        assert (r.n_words, r.n_base, r.first_word, r.labels) == (len(long.split()), 1, at, "mit") and r.n_matches >= 1
+    for r in contamination(docs, benchmark).where("doc_id <> 2").collect():
+        assert (r.n_words, r.n_hit, r.n_items) == (len(long.split()), 12, 1)
+    cleaned = {r.doc_id: r.text for r in remove_benchmark(docs, benchmark).collect()}
+    assert cleaned[1] == cleaned[3] == long.replace(" ".join(item) + " ", "") and cleaned[2] == "short text"
+    rows = quality(docs).collect()
+    assert sorted(r.doc_id for r in rows) == [1, 2, 3]
+    assert len({r.score for r in rows if r.doc_id != 2}) == 1 and all(0 <= r.score <= 1 for r in rows)

@@ -619,3 +619,6 @@ def test_removed_in_passes_of_one_item_each(spark):
     rows = sorted(passes.collect(), key=lambda r: r.doc_id)
     assert rows == sorted(whole.collect(), key=lambda r: r.doc_id)
     assert [r.text for r in rows] == ["x y, ", " ", "a1 b1", None, ""]
+    nothing = docs.limit(0)
+    assert remove_benchmark(nothing, benchmark, block_bytes=1).count() == 0
+    assert contamination(nothing, benchmark, block_bytes=1).count() == 0 == license_matches(nothing).count()
