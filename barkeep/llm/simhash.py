@@ -12,8 +12,9 @@ A row without words (null and empty texts too) has fingerprint zero and is linke
 other. Rows may repeat; null ids keep a null-safe place: a component's id is its smallest
 id that is not null, and null if it has none.
 
-Which documents stay is decided by the Jaccard similarity of their sets of shingles instead, computed on the whole sets. Candidates are what shares a band of a min-hash sketch: two sets
-of similarity 0.8 share none of the bands with a chance of about one in ten million. Equality of
+Which documents stay starts from the same links between fingerprints. Each is then checked by the Jaccard similarity
+of the whole sets of shingles. As some sets of similarity 0.8 are more than 4 bits apart, what shares a band of a min-hash
+sketch is checked too: two such sets share none of the bands with a chance of about one in ten million. Equality of
 shingles and of whole sets is that of 64-bit hashes.
 """
 
@@ -281,18 +282,21 @@ def near_duplicates(docs, words=WORDS, distance=DISTANCE, id_col="doc_id", text_
 
 def _sketched(batches, words):
     schema = pa.schema(
-        [("_id", pa.int64()), ("_th", pa.string()), ("node", pa.int64()), ("keys", pa.list_(pa.int64())), ("sketch", pa.binary())]
+        [("_id", pa.int64()), ("_th", pa.string()), ("fp", pa.int64()), ("node", pa.int64()), ("keys", pa.list_(pa.int64())), ("sketch", pa.binary())]
     )
     for batch in batches:
         for rows, raws in slices(batch, "text"):
-            nodes, keys, sketches = [], [], []
+            prints, nodes, keys, sketches = [], [], [], []
             for raw in raws:
-                shingles = shingle_set(raw, words)
+                hashes = np.array(shingle_hashes(raw, words), np.uint64)
+                prints.append(fold([hashes])[0])
+                shingles = np.unique(hashes)
                 nodes.append(xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63))
                 own, shown = sketch(shingles)
                 keys.append(own)
                 sketches.append(shown)
-            yield to_batch(schema, rows.column("_id"), rows.column("_th"), nodes, keys, sketches)
+            prints = np.array(prints, np.uint64).view(np.int64)
+            yield to_batch(schema, rows.column("_id"), rows.column("_th"), prints, nodes, keys, sketches)
 
 
 def _sets(batches, words):
@@ -394,11 +398,24 @@ def _verified(pairs, heads, own, words):
     return stage(both.mapInArrow(tidied(_similar), "a long, b long"), "similar")
 
 
+def print_pairs(prints):
+    """Pairs (a, b) of sets to be compared: those of one fingerprint with the least of them, and the least ones of
+    linked fingerprints."""
+    sets = stage(prints.select("fp", "node").distinct(), "sets-of-prints")
+    least = sets.groupBy("fp").agg(F.min("node").alias("least"))
+    found = links(least.select("fp"))
+    end = lambda name: least.select(F.col("fp").alias(name), F.col("least").alias(f"of_{name}"))
+    near = found.join(end("a"), "a").join(end("b"), "b").select("of_a", "of_b")
+    pairs = sets.join(least, "fp").select("least", "node").union(near).toDF("a", "b")
+    return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def near_copies(prints, heads, own, words):
     """(node, root) of the sets that have a link: pairs with a Jaccard similarity of 0.8 or more.
 
-    First each set is held against the least one of each band it shares. Bands whose sets are not yet
-    connected by that are searched in whole, and each gives links enough to connect what is similar in it.
+    First the pairs that ``print_pairs`` finds are compared, and each set with the least one of each band it shares.
+    Bands whose sets are not yet connected by that are searched in whole, and each gives links enough to connect what
+    is similar in it.
     """
     entries = prints.select("node", F.posexplode("keys").alias("band", "key"))
     shared = stage(
@@ -408,8 +425,8 @@ def near_copies(prints, heads, own, words):
     members = entries.distinct().join(shared, ["band", "key"]).select("band", "key", "node", "least")
     members = stage(members, "members")
     stars = members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
-    stars = stage(stars.distinct(), "stars")
-    linked = _verified(stars, heads, own, words)
+    pairs = stage(print_pairs(prints).union(stars).distinct(), "pairs")
+    linked = _verified(pairs, heads, own, words)
     roots = components(linked)
     placed = members.join(roots, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("root"))
     placed = stage(placed, "placed")
@@ -440,8 +457,8 @@ def near_copies(prints, heads, own, words):
 def drop_near_duplicates(docs, words=WORDS, id_col="doc_id", text_col="text"):
     """The rows of ``docs`` that stand for their group of near copies, unchanged: one of each group.
 
-    Rows are linked if the Jaccard similarity of their texts' sets of shingles of ``words`` words is 0.8 or
-    more; of a group of linked rows the smallest id stays (nulls last, then by the text's MD5), and
+    Candidates are rows with fingerprints at 4 differing bits or fewer, and rows that share a band. They are linked if
+    the Jaccard similarity of their texts' sets of shingles of ``words`` words is 0.8 or more; of a group of linked rows the smallest id stays (nulls last, then by the text's MD5), and
     of rows with that id and text one.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
@@ -451,7 +468,7 @@ def drop_near_duplicates(docs, words=WORDS, id_col="doc_id", text_col="text"):
     texts = own.select(F.col(at).alias("_id"), F.col(th).alias("_th"), text.alias("text"))
     prints = texts.mapInArrow(
         tidied(lambda batches: _sketched(batches, words)),
-        "_id long, _th string, node long, keys array<long>, sketch binary",
+        "_id long, _th string, fp long, node long, keys array<long>, sketch binary",
     )
     prints = stage(prints, "prints")
     first = F.struct(F.col("_id").isNull().alias("none"), "_id", "_th")
