@@ -132,31 +132,30 @@ class PrefixCounter:
     def state(self, raw):
         """256 * tokens + length of the last token of the encoding of ``raw``.
 
-        The same is stored for each prefix, as plain numbers that the garbage collector skips.
+        The same is stored for each prefix that was needed for it, as plain numbers that the garbage collector skips.
         """
         known = self.states
         if raw in known:
             return known[raw]
-        n = len(raw)
-        first = n - 1
-        while first and raw[:first] not in known:
-            first -= 1
         if len(known) >= self.most_states:
-            kept = {raw[:i]: known[raw[:i]] for i in range(first + 1)}
             known.clear()
-            known.update(kept)
-        tokens, fits, reach = self.tokens, self.fits, self.reach
-        for end in range(first + 1, n + 1):
-            for start in range(max(0, end - reach.get(raw[max(0, end - 2) : end], 1)), end):
-                token = raw[start:end]
-                if token in tokens:
-                    before = known[raw[:start]]
-                    if fits[raw[start - (before & 255) : start], token]:
-                        known[raw[:end]] = found = (before | 255) + 1 + end - start
-                        break
-            else:
-                raise ValueError(f"the vocabulary cannot write {raw[:end]!r}")
-        return found
+            known[b""] = 0
+        return self._state(raw)
+
+    def _state(self, raw):
+        known, tokens, fits, n = self.states, self.tokens, self.fits, len(raw)
+        for start in range(max(0, n - self.reach.get(raw[max(0, n - 2) :], 1)), n):
+            token = raw[start:]
+            if token in tokens:
+                # Only what stands before such a token is asked for: most pieces are few tokens.
+                head = raw[:start]
+                before = known.get(head)
+                if before is None:
+                    before = self._state(head)
+                if fits[raw[start - (before & 255) : start], token]:
+                    known[raw] = found = (before | 255) + 1 + n - start
+                    return found
+        raise ValueError(f"the vocabulary cannot write {raw!r}")
 
     def table(self, raw):
         """Token count of each prefix of one piece: entry i is for its first i bytes."""
@@ -217,25 +216,43 @@ class PrefixCounter:
             run = piece if piece.isspace() else ""
         return counts
 
+    def counted(self, text, limit):
+        """``count`` and, if that is over the limit, ``within`` (else None) of a text, cut into pieces once."""
+        if self.specials and any(s in text for s in self.specials):
+            n = self.count(text)
+            return n, self.within(text, limit) if n > limit else None
+        found = self.pieces.findall(text)
+        sizes = list(map(self.size.__getitem__, found))
+        n = sum(sizes)
+        return n, self._cut(found, sizes, limit)[0] if n > limit else None
+
+    def _cut(self, found, sizes, budget):
+        """Bytes of the pieces ``found`` that take ``budget`` tokens at most, whether all do, and what is left of it."""
+        sums = list(accumulate(sizes))
+        k = bisect_right(sums, budget)
+        done = len("".join(found[:k]).encode())
+        budget -= sums[k - 1] if k else 0
+        if k == len(found):
+            return done, True, budget
+        raw = found[k].encode()
+        counts = self.table(raw)
+        fit = max(
+            i
+            for i in range(len(raw) + 1)
+            if counts[i] <= budget and (i == len(raw) or raw[i] & 0xC0 != 0x80)
+        )
+        return done + fit, False, budget
+
     def within(self, text, limit):
         """Bytes of the longest prefix of whole characters that takes ``limit`` tokens at most,
         and that is also the start of the whole text's encoding up to its last piece."""
         budget, done = limit, 0
         for part, special in self.segments(text):
             found = self.pieces.findall(part)
-            sums = list(accumulate(map(self.size.__getitem__, found)))
-            k = bisect_right(sums, budget)
-            done += len("".join(found[:k]).encode())
-            budget -= sums[k - 1] if k else 0
-            if k < len(found):
-                raw = found[k].encode()
-                counts = self.table(raw)
-                fit = max(
-                    i
-                    for i in range(len(raw) + 1)
-                    if counts[i] <= budget and (i == len(raw) or raw[i] & 0xC0 != 0x80)
-                )
-                return done + fit
+            size, whole, budget = self._cut(found, map(self.size.__getitem__, found), budget)
+            done += size
+            if not whole:
+                return done
             if special:
                 if not budget:
                     return done
@@ -266,17 +283,14 @@ def token_counts(docs, vocabulary="byte_bpe_50k.json", limit=512, id_col="doc_id
         for batch in batches:
             for rows, raws in slices(batch, "text"):
                 texts = [raw.decode("utf-8", "replace") for raw in raws]
-                counts = [known.count(text) for text in texts]
+                counted = [known.counted(text, limit) for text in texts]
                 yield to_batch(
                     _OUT,
                     rows.column("doc_id"),
                     [len(raw) for raw in raws],
-                    counts,
-                    [n > limit for n in counts],
-                    [
-                        len(raw) if n <= limit else known.within(text, limit)
-                        for raw, text, n in zip(raws, texts, counts)
-                    ],
+                    [n for n, _ in counted],
+                    [n > limit for n, _ in counted],
+                    [len(raw) if cut is None else cut for raw, (_, cut) in zip(raws, counted)],
                 )
 
     return pick(docs, id_col, text_col).mapInArrow(run, SCHEMA)
