@@ -5,7 +5,6 @@ from dataclasses import dataclass
 from pyspark.sql import functions as F
 
 from barkeep.functions.columns import blank_to_null, unreadable
-from barkeep.operators.dedup import latest_per_key
 from barkeep.operators.normalize import PERMISSIVE, normalize_text
 from barkeep.schema import FILE_DAY, QUARANTINE, RAW_COLUMNS, RAW_TYPED
 from barkeep.scratch import stage
@@ -13,9 +12,10 @@ from barkeep.sinks.tables import (
     OVERWRITE_PARTITIONS,
     create_bars_table,
     drop_days,
+    write_latest,
     write_table,
 )
-from barkeep.sources.raw_files import scan_text
+from barkeep.sources.raw_files import large_days, scan_text
 
 # The whole line, where its number of cells is wrong.
 BROKEN = "_broken"
@@ -52,10 +52,11 @@ def reasons():
 
 def checked_rows(raw):
     """Text rows, scanned with ``broken=BROKEN`` and their path, with ``row`` (the line, or the cells as JSON)
-    and ``reasons``."""
+    and ``reasons``; the row of a good one is null, as its cells say the same."""
     row = F.coalesce(BROKEN, F.to_json(F.struct(*RAW_COLUMNS)))
     day = F.coalesce(FILE_DAY, F.lit(NO_DAY).cast("date"))
-    return raw.withColumns({"row": row, "reasons": reasons(), FILE_DAY: day})
+    marked = raw.withColumns({"reasons": reasons(), FILE_DAY: day})
+    return marked.withColumn("row", F.when(F.size("reasons") > 0, row))
 
 
 def load_checked(
@@ -73,11 +74,11 @@ def load_checked(
     raw = scan_text(spark, input_path, days, one_header=one_header, with_path=True, broken=BROKEN)
     rows = stage(checked_rows(raw), "checked")
     good = F.size("reasons") == 0
-    bars = latest_per_key(normalize_text(rows.filter(good), PERMISSIVE))
+    bars = normalize_text(rows.filter(good), PERMISSIVE)
     files = stage(
         rows.groupBy("path", FILE_DAY).agg(F.count("*").alias("read"), F.count_if(~good).alias("aside")), "checked-files"
     )
-    write_table(bars, table, disposition)
+    write_latest(bars, table, disposition, large_days(spark, input_path))
     _replace(spark, quarantine, files, rows.filter(~good).select(*QUARANTINE.names))
     counted = files.agg(F.sum("read").alias("read"), F.sum("aside").alias("aside")).first()
     return Checked(counted.read or 0, counted.aside or 0)
@@ -88,6 +89,9 @@ def _replace(spark, quarantine, files, aside):
     touched = files.select(FILE_DAY).distinct()
     before = spark.table(quarantine).join(touched, FILE_DAY, "left_semi")
     stay = before.join(files.select("path"), "path", "left_anti").select(*QUARANTINE.names)
+    if before.isEmpty():
+        write_table(aside, quarantine, cluster_by=FILE_DAY)
+        return
     rows = stage(stay.unionByName(aside), "aside")
     write_table(rows, quarantine, cluster_by=FILE_DAY)
     held = before.select(FILE_DAY).distinct()
