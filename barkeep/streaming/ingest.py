@@ -8,7 +8,7 @@ from barkeep.operators.normalize import normalize_typed
 from barkeep.plans.load import refresh_bars
 from barkeep.schema import BAR_KEY, FILE_DAY, RAW_COLUMNS, RAW_TYPED
 from barkeep.scratch import stage
-from barkeep.sinks.tables import create_bars_table, create_file_days_table
+from barkeep.sinks.tables import APPEND, create_bars_table, create_file_days_table, write_table
 from barkeep.sinks.upsert import upsert_table
 from barkeep.sources.ledger import described, file_versions, last_loaded, mark_loaded
 
@@ -58,14 +58,22 @@ def ingest_new_files(spark, input_path, table, checkpoint, files_per_batch=None,
         newest = stage(newest.withColumn("month", F.trunc("trade_date", "month")), "stream-batch")
         span = newest.agg(F.min("month").alias("first"), F.max("month").alias("last")).first()
         known = session.table(side).filter(F.col("month").between(F.lit(span.first), F.lit(span.last)))
+        known = known.join(newest.select("trade_date").distinct(), "trade_date", "left_semi")
         known = known.select(*BAR_KEY, F.col(FILE_DAY).alias("known_day"))
-        accepted = newest.join(known, list(BAR_KEY), "left").filter(
-            F.col("known_day").isNull() | (F.col("known_day") <= F.col(FILE_DAY))
-        )
-        accepted = stage(accepted, "stream-batch")
+        # As a rule a file holds new days, of which nothing is known: then no bar is compared or read again.
+        new_days = known.isEmpty()
+        accepted = newest
+        if not new_days:
+            accepted = newest.join(known, list(BAR_KEY), "left").filter(
+                F.col("known_day").isNull() | (F.col("known_day") <= F.col(FILE_DAY))
+            )
+            accepted = stage(accepted, "stream-batch")
         # Bars first: if the second write fails, the repeated batch does both again.
-        upsert_table(table, accepted, already_unique=True)
-        upsert_table(side, accepted, (*BAR_KEY, "month"), "month", already_unique=True)
+        upsert_table(table, accepted, already_unique=True, staged=True)
+        if new_days:
+            write_table(accepted, side, APPEND, "month")
+        else:
+            upsert_table(side, accepted, (*BAR_KEY, "month"), "month", already_unique=True, staged=True)
 
     query = (
         stream_bars(spark, input_path, files_per_batch)
