@@ -3,6 +3,7 @@
 A range that fails does not stop the others: only rows of good ranges are written.
 """
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -12,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barkeep.operators.dedup import latest_per_key
 from barkeep.operators.normalize import (
     PERMISSIVE,
     STRICT,
@@ -22,11 +22,13 @@ from barkeep.operators.normalize import (
 )
 from barkeep.schema import FILE_DAY, FINISHED
 from barkeep.scratch import stage
-from barkeep.sinks.tables import OVERWRITE_PARTITIONS, create_bars_table, write_table
+from barkeep.sinks.tables import OVERWRITE_PARTITIONS, create_bars_table, write_latest
 from barkeep.sources.ledger import file_versions
 from barkeep.sources.raw_files import (
+    SCHEME,
     comparable,
     full_path,
+    large_days,
     list_files,
     path_exists,
     scan_bars,
@@ -95,8 +97,8 @@ def backfill(spark, ranges, table, mode=PERMISSIVE, one_header=True):
 
     A range fails if no file lies below its path, if its files cannot be read (a header
     that differs, a corrupt file) or, in ``strict`` mode, if one of its rows has a cell
-    that cannot be read. All ranges are read together; only if that fails is the list
-    halved, again and again, until the failing ranges stand alone. Where ranges share a day, the last
+    that cannot be read. All ranges are read together; only if that fails are the ranges of the file at fault set
+    apart, or, where that does not help, the list halved, until the failing ranges stand alone. Where ranges share a day, the last
     good one that has bars on it decides, as if the ranges were loaded in order.
     Returns one row per range with its status, files, bars, unreadable rows and error.
     """
@@ -133,7 +135,7 @@ def backfill(spark, ranges, table, mode=PERMISSIVE, one_header=True):
         bars = reduce(DataFrame.unionByName, read).filter("in_range").join(_ids(spark, good), "range_id", "left_semi")
         if _share_days(good):
             bars = _last_range_per_day(bars)
-        write_table(latest_per_key(bars), table, OVERWRITE_PARTITIONS)
+        write_latest(bars, table, OVERWRITE_PARTITIONS, large_days(spark, _outermost(good)))
     return spark.createDataFrame(results, RESULT)
 
 
@@ -166,8 +168,17 @@ def _read(spark, items, mode, one_header):
     return _Read(rows, files, {r.range_id: (r.bars, r.unreadable) for r in per_range.collect()})
 
 
-def _isolated(spark, items, mode, one_header):
-    """(what was read, None) for ranges read together, (range, error text) for those that fail alone."""
+def _holding_named(items, problem):
+    """Ranges below whose path the file lies that the error names; none if it names none of theirs."""
+    named = [re.sub(SCHEME, r"\1:/", path.rstrip(".")) for path in re.findall(r"[a-z0-9]+:/+\S+", str(problem))]
+    return [i for i in items if any(path.startswith(i.root + "/") or path == i.root for path in named)]
+
+
+def _isolated(spark, items, mode, one_header, named=False):
+    """(what was read, None) for ranges read together, (range, error text) for those that fail alone.
+
+    ``named``: a range was just set apart because the error named one of its files.
+    """
     if not items:
         return
     try:
@@ -179,13 +190,20 @@ def _isolated(spark, items, mode, one_header):
         if len(items) == 1:
             yield items[0], str(problem).strip().split("\n")[0]
             return
+        bad = [] if named else _holding_named(items, problem)
+    if 0 < len(bad) < len(items):
+        # As a rule one file is at fault: all other ranges are read at once. If they fail again, they are halved.
+        yield from _isolated(spark, bad, mode, one_header)
+        yield from _isolated(spark, [i for i in items if i not in bad], mode, one_header, named=True)
+        return
     half = len(items) // 2
     yield from _isolated(spark, items[:half], mode, one_header)
     yield from _isolated(spark, items[half:], mode, one_header)
 
 
 def _ids(spark, items):
-    return spark.createDataFrame([(i.range_id,) for i in items], "range_id int")
+    # As small as the work list, which the driver holds: no shuffle of the rows to meet it.
+    return F.broadcast(spark.createDataFrame([(i.range_id,) for i in items], "range_id int"))
 
 
 def _rows_by_range(spark, roots, pairs, mode, one_header):
