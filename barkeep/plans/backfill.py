@@ -22,7 +22,7 @@ from barkeep.operators.normalize import (
 )
 from barkeep.schema import FILE_DAY, FINISHED
 from barkeep.scratch import stage
-from barkeep.sinks.tables import OVERWRITE_PARTITIONS, create_bars_table, write_latest
+from barkeep.sinks.tables import OVERWRITE_PARTITIONS, create_bars_table, latest_by_day, write_table
 from barkeep.sources.ledger import file_versions
 from barkeep.sources.raw_files import (
     SCHEME,
@@ -135,7 +135,8 @@ def backfill(spark, ranges, table, mode=PERMISSIVE, one_header=True):
         bars = reduce(DataFrame.unionByName, read).filter("in_range").join(_ids(spark, good), "range_id", "left_semi")
         if _share_days(good):
             bars = _last_range_per_day(bars)
-        write_latest(bars, table, OVERWRITE_PARTITIONS, large_days(spark, _outermost(good)))
+        bars = latest_by_day(bars, large_days(spark, _outermost(good)))
+        write_table(bars, table, OVERWRITE_PARTITIONS, None)
     return spark.createDataFrame(results, RESULT)
 
 
