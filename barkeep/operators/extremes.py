@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barkeep.functions.columns import day_number
 from barkeep.functions.ranges import DayRange
-from barkeep.schema import METRIC_COLUMNS, SPAN_DAYS
+from barkeep.schema import BAR_COLUMNS, METRIC_COLUMNS, SPAN_DAYS
 
 
 def _with_extremes(days):
@@ -38,6 +38,17 @@ def _with_extremes(days):
     ).withColumn("past_low_52_weeks", F.when(complete, F.col("trailing_low")))
 
 
+def _lending(bars, output):
+    """``bars`` with only ticker, day, high and low outside of ``output``.
+
+    Rows around the range lend their highs and lows and are not written themselves: the nulls take next to no room in
+    the shuffle.
+    """
+    lent = ("ticker", "trade_date", "high", "low")
+    wanted = output.contains("trade_date")
+    return bars.select(*[F.col(c) if c in lent else F.when(wanted, F.col(c)).alias(c) for c in BAR_COLUMNS])
+
+
 def range_extremes(bars, start, end, unique_days=False):
     """52-week extremes of the bars dated ``start`` to ``end``.
 
@@ -53,7 +64,7 @@ def range_extremes(bars, start, end, unique_days=False):
     padded = bars.filter(output.widen(SPAN_DAYS, SPAN_DAYS).contains("trade_date"))
 
     if unique_days:
-        metrics = _with_extremes(padded).filter(output.contains("trade_date"))
+        metrics = _with_extremes(_lending(padded, output)).filter(output.contains("trade_date"))
         return metrics.select(*METRIC_COLUMNS)
 
     days = padded.groupBy("ticker", "trade_date").agg(
@@ -88,7 +99,7 @@ def new_day_extremes(bars, start, end):
     # Up to the first day of the core, which tells whether the last new day's year is complete.
     shifted = DayRange(*(day - dt.timedelta(days=SPAN_DAYS) for day in (output.start, output.end)))
     near = bars.filter(shifted.contains("trade_date") | output.contains("trade_date"))
-    framed = _with_extremes(near).filter(output.contains("trade_date"))
+    framed = _with_extremes(_lending(near, output)).filter(output.contains("trade_date"))
     joined = framed.join(core, F.col("ticker").eqNullSafe(F.col("_ticker")), "left")
     for name, pick in (("high", F.greatest), ("low", F.least)):
         past = pick(f"trailing_{name}", f"core_{name}")

@@ -2,13 +2,16 @@
 
 import datetime as dt
 import os
+import re
 
 from conftest import line
+from pyspark.sql import functions as F
 
 from barkeep.operators.dedup import latest_per_key
+from barkeep.operators.extremes import new_day_extremes, range_extremes
 from barkeep.plans import backfill as plan
 from barkeep.plans.quarantine import BROKEN, checked_rows, load_checked
-from barkeep.schema import BAR_COLUMNS
+from barkeep.schema import BAR_COLUMNS, METRIC_COLUMNS
 from barkeep.scratch import scratch_root
 from barkeep.sinks.tables import create_bars_table, write_latest
 from barkeep.sinks.upsert import upsert_table
@@ -120,3 +123,20 @@ def test_the_file_at_fault_is_set_apart_at_once(spark, raw_zone, table_name, mon
     done = {r.range_id: r.status for r in plan.backfill(spark, ranges, table_name).collect()}
     assert [i for i, status in done.items() if status == plan.FAILED] == [6]
     assert sorted(calls) == [1, 7, 8] and spark.table(table_name).count() == 7
+
+
+def test_days_around_the_range_are_shuffled_without_what_is_not_read(spark):
+    monthly = F.date_add(F.lit(dt.date(2024, 1, 1)), 28 * F.day("trade_date"))
+    bars = latest_per_key(bars_of(spark, days=20, tickers=2)).withColumn("trade_date", monthly)
+    first, last = dt.date(2025, 1, 1), dt.date(2025, 2, 28)
+    got = range_extremes(bars, first, last, unique_days=True)
+    for df in (got, new_day_extremes(bars, first, last)):
+        plan_text = df._jdf.queryExecution().optimizedPlan().toString()
+        below = plan_text[plan_text.index("Window [max(") :]
+        for column in BAR_COLUMNS:
+            read = column in ("ticker", "trade_date", "high", "low")
+            assert bool(re.search(rf"CASE WHEN [^\n]* THEN {column}#", below)) != read
+    # The range's own rows keep every column, and equal those of the plan for repeated days.
+    by_row = lambda df: sorted(map(tuple, df.select(*METRIC_COLUMNS).collect()))
+    assert by_row(got) == by_row(range_extremes(bars, first, last)) and got.count() == 4
+    assert rows_of(got) == rows_of(bars.filter(bars.trade_date.between(first, last)))
