@@ -4,7 +4,7 @@ import pytest
 from conftest import line
 
 from barkeep.sinks.versions import compact, create_versioned_table, current_rows
-from barkeep.streaming.keyed import LateBarsError, ingest_keyed
+from barkeep.streaming.keyed import STATE_SETTINGS, STATE_STORE, LateBarsError, ingest_keyed
 
 
 @pytest.fixture
@@ -57,3 +57,31 @@ def test_bars_too_late_are_not_left_out_in_silence(raw_zone, ingest):
     with pytest.raises(LateBarsError):
         ingest(late_days=30)
     assert ingest(late_days=30) == [("A", "2024-05-20", 1.0), ("A", "2024-06-03", 1.0)]
+
+
+def _state_files(tmp_path, ending):
+    return list((tmp_path / "checkpoint" / "state").rglob(f"*.{ending}"))
+
+
+def test_state_is_kept_on_disk_not_in_the_heap(spark, raw_zone, ingest, tmp_path):
+    raw_zone("2024-01-05", [line("A", "2024-01-02", price="5.0")])
+    ingest()
+    raw_zone("2024-01-02", [line("A", "2024-01-02", price="2.0"), line("B", "2024-01-02")])
+    assert ingest() == [("A", "2024-01-02", 5.0), ("B", "2024-01-02", 1.0)]
+    assert _state_files(tmp_path, "sst") and not _state_files(tmp_path, "delta")
+    assert all(spark.conf.get(key, "") == "" for key in STATE_SETTINGS)
+
+
+def test_a_checkpoint_goes_on_with_the_store_it_was_begun_with(spark, raw_zone, ingest, tmp_path):
+    key = f"{STATE_STORE}.providerClass"
+    in_heap = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    raw_zone("2024-01-05", [line("A", "2024-01-02", price="5.0")])
+    spark.conf.set(key, in_heap)
+    try:
+        ingest()
+        assert spark.conf.get(key) == in_heap
+    finally:
+        spark.conf.unset(key)
+    raw_zone("2024-01-02", [line("A", "2024-01-02", price="2.0"), line("B", "2024-01-02")])
+    assert ingest() == [("A", "2024-01-02", 5.0), ("B", "2024-01-02", 1.0)]
+    assert _state_files(tmp_path, "delta") and not _state_files(tmp_path, "sst")
